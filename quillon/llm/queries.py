@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from quillon.llm import line_dedup
+from quillon.llm import language_id, line_dedup, mixing
 
-QUERIES = {"op3_line_dedup": line_dedup.op3_line_dedup}
+QUERIES = {
+    "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op4_mix_sources": mixing.op4_mix_sources,
+    "op9_language_id": language_id.op9_language_id,
+}
 ORACLES = {"op3_line_dedup": line_dedup.ORACLE}
