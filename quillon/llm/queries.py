@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quillon.llm import language_id, line_dedup, mixing, sharding
+from quillon.llm import fingerprints, language_id, line_dedup, mixing, sharding
 
 QUERIES = {
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op7_shards": sharding.op7_shards,
+    "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_language_id": language_id.op9_language_id,
 }
 ORACLES = {"op3_line_dedup": line_dedup.ORACLE}
