@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillon.llm import fingerprints, language_id, line_dedup, mixing, sharding
+from quillon.llm import bpe, fingerprints, language_id, line_dedup, mixing, sharding
 
 QUERIES = {
     "op3_line_dedup": line_dedup.op3_line_dedup,
@@ -10,5 +10,6 @@ QUERIES = {
     "op7_shards": sharding.op7_shards,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_language_id": language_id.op9_language_id,
+    "op10_byte_bpe": bpe.op10_byte_bpe,
 }
 ORACLES = {"op3_line_dedup": line_dedup.ORACLE}

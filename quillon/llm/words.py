@@ -1,0 +1,127 @@
+"""Corpus-wide word tables: counts by a global shuffle, and a bounded table of the frequent words for every task."""
+
+from __future__ import annotations
+
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F
+
+from quillon.llm.common import materialise, wide_hash
+
+#: Words of the table that every task holds, at most, and bytes of a word in it, at most.
+HOT_WORDS, HOT_BYTES = 2_000_000, 256
+#: Distinct words that a task counts or remembers before it hands them on or forgets them.
+LOCAL_WORDS = 400_000
+#: Bits of the filter that tells which other words repeat.
+FILTER_BITS = 1 << 27
+#: Documents that a task handles at a time.
+DOCS_AT_ONCE = 256
+
+_SEED2 = xxhash.xxh64_intdigest((0x9E3779B97F4A7C15).to_bytes(8, "little"), seed=42)
+
+
+def first_hash(word: bytes) -> int:
+    """As Spark's xxhash64(word), unsigned."""
+    return xxhash.xxh64_intdigest(word, seed=42)
+
+
+def second_hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, seed=_SEED2)
+
+
+def count_words(docs: DataFrame, tokens: Callable[[], Callable[[str], list[bytes]]], text: str = "text") -> DataFrame:
+    """(word binary, n): how often each word occurs in all texts. Tasks count first, so a common word is a few rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, held = tokens(), Counter()
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+            held.clear()
+            return out
+
+        for b in batches:
+            for t in b.column(0):
+                held.update(of(t.as_py() or ""))
+                if len(held) > LOCAL_WORDS:
+                    yield flush()
+        yield flush()
+
+    return materialise(docs.select(text).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def split_hot(counts: DataFrame, most: int = HOT_WORDS) -> tuple[DataFrame, DataFrame, int]:
+    """(hot, warm, number of warm words): repeated words within the bound by count, and other repeated words.
+
+    Counts are compared by levels (exact below 1000), and whole levels are hot. Longer words than
+    HOT_BYTES are never hot.
+    """
+    level = F.when(F.col("n") < 1000, F.col("n")).otherwise(1000 + F.floor(F.log2(F.col("n")) * 8)).cast("int")
+    short = F.octet_length("word") <= HOT_BYTES
+    sizes = dict(map(tuple, counts.where((F.col("n") > 1) & short).groupBy(level.alias("l")).count().collect()))
+    least, total = None, 0
+    for k in sorted(sizes, reverse=True):
+        if total + sizes[k] > most:
+            break
+        least, total = k, total + sizes[k]
+    is_hot = F.lit(False) if least is None else (F.col("n") > 1) & short & (level >= least)
+    warm = counts.where((F.col("n") > 1) & ~is_hot)
+    return counts.where(is_hot), warm, warm.count()
+
+
+def filter_bits(warm: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS by the words' hashes; its size does not depend on their number."""
+    at = F.pmod(F.xxhash64("word"), F.lit(FILTER_BITS))
+    rows = warm.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("m")).collect()
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for b, m in rows:
+        piece = np.frombuffer(bytes(m), np.uint8)
+        out[(b - 1) * 4096 : (b - 1) * 4096 + len(piece)] = piece
+    return out
+
+
+class HotTable:
+    """Word hashes in ascending order, and for each a value: an integer, or bytes by offsets."""
+
+    def __init__(self, hot: DataFrame, value: str):
+        h1, h2 = wide_hash(F.col("word"))
+        got = hot.select(h1.alias("h1"), h2.alias("h2"), F.col(value).alias("v")).toArrow()
+        first = got["h1"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(first, kind="stable")
+        self.first, self.second = first[order], got["h2"].to_numpy().astype(np.int64).view(np.uint64)[order]
+        if pa.types.is_integer(got["v"].type):
+            self.numbers, self.ends, self.blob = got["v"].to_numpy()[order].astype(np.int64), None, b""
+        else:
+            parts = got["v"].take(pa.array(order)).to_pylist()
+            self.numbers, self.ends, self.blob = None, np.cumsum([0, *map(len, parts)], dtype=np.int64), b"".join(parts)
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """Indices of words, -1 where a word is not in the table."""
+        if not len(self.first) or not words:
+            return np.full(len(words), -1, np.int64)
+        h = np.array([first_hash(w) for w in words], np.uint64)
+        at = np.minimum(np.searchsorted(self.first, h), len(self.first) - 1)
+        for step in range(2):  # two words may share a first hash
+            near = np.minimum(at + step, len(self.first) - 1)
+            hit = self.first[near] == h
+            if not hit.any():
+                return np.full(len(words), -1, np.int64)
+            other = np.array([second_hash(w) if k else 0 for w, k in zip(words, hit)], np.uint64)
+            ok = hit & (self.second[near] == other)
+            out = np.where(ok, near, -1) if step == 0 else np.where((out < 0) & ok, near, out)
+        return out
+
+    def bytes_at(self, i: int) -> bytes:
+        return self.blob[self.ends[i] : self.ends[i + 1]]
+
+
+def in_filter(bits: np.ndarray | None, words: list[bytes]) -> np.ndarray:
+    if bits is None or not words:
+        return np.zeros(len(words), bool)
+    # pmod of the signed hash: the modulus is a power of two
+    at = np.array([first_hash(w) & (FILTER_BITS - 1) for w in words], np.int64)
+    return (bits[at >> 3] >> (at & 7)) & 1 == 1
