@@ -85,19 +85,19 @@ def filter_bits(warm: DataFrame) -> np.ndarray:
 
 
 class HotTable:
-    """Word hashes in ascending order, and for each a value: an integer, or bytes by offsets."""
+    """Word hashes in ascending order, and for each its values: numbers, or bytes by offsets."""
 
-    def __init__(self, hot: DataFrame, value: str):
+    def __init__(self, hot: DataFrame, *values: str):
         h1, h2 = wide_hash(F.col("word"))
-        got = hot.select(h1.alias("h1"), h2.alias("h2"), F.col(value).alias("v")).toArrow()
+        got = hot.select(h1.alias("h1"), h2.alias("h2"), *values).toArrow()
         first = got["h1"].to_numpy().astype(np.int64).view(np.uint64)
         order = np.argsort(first, kind="stable")
         self.first, self.second = first[order], got["h2"].to_numpy().astype(np.int64).view(np.uint64)[order]
-        if pa.types.is_integer(got["v"].type):
-            self.numbers, self.ends, self.blob = got["v"].to_numpy()[order].astype(np.int64), None, b""
-        else:
-            parts = got["v"].take(pa.array(order)).to_pylist()
-            self.numbers, self.ends, self.blob = None, np.cumsum([0, *map(len, parts)], dtype=np.int64), b"".join(parts)
+        self.numbers = [got[v].to_numpy()[order] for v in values if not pa.types.is_binary(got[v].type)]
+        for v in values:
+            if pa.types.is_binary(got[v].type):
+                parts = got[v].take(pa.array(order)).to_pylist()
+                self.ends, self.blob = np.cumsum([0, *map(len, parts)], dtype=np.int64), b"".join(parts)
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """Indices of words, -1 where a word is not in the table."""
@@ -105,14 +105,12 @@ class HotTable:
             return np.full(len(words), -1, np.int64)
         h = np.array([first_hash(w) for w in words], np.uint64)
         at = np.minimum(np.searchsorted(self.first, h), len(self.first) - 1)
+        out = np.full(len(words), -1, np.int64)
         for step in range(2):  # two words may share a first hash
             near = np.minimum(at + step, len(self.first) - 1)
-            hit = self.first[near] == h
-            if not hit.any():
-                return np.full(len(words), -1, np.int64)
-            other = np.array([second_hash(w) if k else 0 for w, k in zip(words, hit)], np.uint64)
-            ok = hit & (self.second[near] == other)
-            out = np.where(ok, near, -1) if step == 0 else np.where((out < 0) & ok, near, out)
+            for i in np.flatnonzero((self.first[near] == h) & (out < 0)).tolist():
+                if int(self.second[near[i]]) == second_hash(words[i]):
+                    out[i] = near[i]
         return out
 
     def bytes_at(self, i: int) -> bytes:
