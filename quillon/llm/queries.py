@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quillon.llm import bpe, fingerprints, language_id, line_dedup, lm, mixing, near_dup, sharding
+from quillon.llm import bpe, fingerprints, language_id, line_dedup, lm, mixing, near_dup, sharding, vector_dedup
 
 QUERIES = {
+    "op2_vector_dedup": vector_dedup.op2_vector_dedup,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_lm_score": lm.op5_lm_score,
@@ -14,4 +15,4 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_byte_bpe": bpe.op10_byte_bpe,
 }
-ORACLES = {"op3_line_dedup": line_dedup.ORACLE, "op6_near_dup": near_dup.ORACLE}
+ORACLES = {"op2_vector_dedup": vector_dedup.ORACLE, "op3_line_dedup": line_dedup.ORACLE, "op6_near_dup": near_dup.ORACLE}
