@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quillon.llm import bpe, fingerprints, language_id, line_dedup, lm, mixing, near_dup, sharding, vector_dedup
+from quillon.llm import bpe, fingerprints, language_id, line_dedup, lm, mixing, near_dup, passages, sharding, vector_dedup
 
 QUERIES = {
+    "op1_repeated_passages": passages.op1_repeated_passages,
     "op2_vector_dedup": vector_dedup.op2_vector_dedup,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_mix_sources": mixing.op4_mix_sources,
