@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillon.functions import ids, text
-from quillon.operators import registry as R, triples as T
+from quillon.operators import documents as D, metadata as M, registry as R, sequences as S, triples as T
 from quillon.plans.views import sql_of, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -364,3 +364,113 @@ def _(spark, sf_dir):
 @query("data_uri", "SELECT page_id, 'data:image/png;base64, ' || base64(encode(url)) AS uri FROM pages")
 def _(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", ids.data_uri(F.col("url").cast("binary"), "png").alias("uri"))
+
+
+# documents
+
+_H = r"regexp_replace(html, '(?s)<(script|style)>.*?</(script|style)>', '', 'g')"
+
+
+@query("page_anchors", f"SELECT page_id, m[2] AS text, m[1] AS href, url AS page, count(*) AS n FROM (SELECT page_id, url, unnest(list_transform(regexp_extract_all({_H}, '<a href=\"[^\"]*\">[^<]*</a>'), lambda x: [regexp_extract(x, 'href=\"([^\"]*)\"', 1), regexp_extract(x, '>([^<]*)<', 1)])) AS m FROM pages) GROUP BY 1, 2, 3, 4")
+def _(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    found = D.anchors(D.html_nodes(pages, "page_id"), "page_id").join(pages.select("page_id", F.col("url").alias("page")), "page_id")
+    return found.groupBy("page_id", F.coalesce("text", F.lit("")).alias("text"), "href", "page").agg(F.count("*").alias("n"))
+
+
+@query("page_title", f"SELECT page_id, replace(regexp_extract({_H}, '<title>([^<]*)</title>', 1), '&amp;', '&') AS title, replace(regexp_extract({_H}, '<h1>([^<]*)</h1>', 1), '&amp;', '&') AS heading FROM pages")
+def _(spark, sf_dir):
+    n = D.html_nodes(table(spark, sf_dir, "pages"), "page_id")
+    first = lambda tag: F.coalesce(F.min_by(F.when(F.col("tag") == tag, F.coalesce("text", F.lit(""))), F.when(F.col("tag") == tag, F.col("node_id"))), F.lit(""))
+    return n.groupBy("page_id").agg(first("title").alias("title"), first("h1").alias("heading"))
+
+
+@query("abs_urls", "SELECT page_id, regexp_extract(url, '^([a-z]+://[^/]+)', 1) || h AS link FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href=\"(/[^\"]*)\">', 1)) AS h FROM pages)")
+def _(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    links = D.anchors(D.html_nodes(pages, "page_id"), "page_id").join(pages.select("page_id", "url"), "page_id").where(F.col("href").startswith("/"))
+    return D.absolute(links, "url", "href", "link").select("page_id", "link")
+
+
+@query("tag_frequency", f"SELECT tag, count(*) AS n FROM (SELECT unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)[^>]*>', 1)) AS tag FROM (SELECT regexp_replace(html, '(?s)(<script>|<style>).*?(</script>|</style>)', '\\1', 'g') AS html FROM pages)) GROUP BY tag")
+def _(spark, sf_dir):
+    return D.tag_frequency(D.html_nodes(table(spark, sf_dir, "pages"), "page_id"))
+
+
+@query("top_classes", "SELECT page_id, c AS class, count(*) AS n, row_number() OVER (PARTITION BY page_id ORDER BY count(*) DESC, c) AS rank FROM (SELECT page_id, unnest(regexp_extract_all(html, 'class=\"([^\"]*)\"', 1)) AS c FROM pages) GROUP BY 1, 2")
+def _(spark, sf_dir):
+    return D.top_classes(D.html_nodes(table(spark, sf_dir, "pages"), "page_id"), "page_id")
+
+
+@query("dialect_dispatch", "SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'old_original' WHEN 1 THEN 'modern_original' WHEN 2 THEN 'old_consolidated' WHEN 3 THEN 'proposal' ELSE 'unsupported' END AS dialect FROM pages")
+def _(spark, sf_dir):
+    marked = F.expr("""CASE page_id % 5 WHEN 0 THEN '<div id="txt_te"><p>a</p></div>' WHEN 1 THEN '<p class="ti-art">a</p>' WHEN 2 THEN '<p style="x">a</p>' WHEN 3 THEN '<p class="Normal">a</p><p class="num">b</p>' ELSE '<p>a</p>' END""")
+    return D.dialect(D.html_nodes(table(spark, sf_dir, "pages").select("page_id", marked.alias("html")), "page_id"), "page_id")
+
+
+@query("id_dedupe", "SELECT k, celex || CASE WHEN n > 1 THEN '--' || cast(n - 1 AS string) ELSE '' END AS node FROM (SELECT k, 'ART_' || cast(k % 50 AS string) AS celex, row_number() OVER (PARTITION BY custkey, k % 50 ORDER BY k) AS n FROM {ids} i)", i="ids")
+def _(i):
+    rows = i.select("k", "custkey", F.expr("'ART_' || cast(k % 50 AS string)").alias("node"))
+    return D.unique_ids(rows, "custkey", "node", "k").select("k", "node")
+
+
+@query("skeleton_missing", "SELECT changer, changee AS celex FROM {changes} c WHERE changee NOT IN (SELECT celex FROM {acts} a)", c="changes", a="acts")
+def _(c, a):
+    refs = c.select("changer", F.col("changee").alias("celex"), F.lit("").alias("id"))
+    return R.skeleton_missing(refs, a.select("celex", F.lit("").alias("id"))).select("changer", "celex")
+
+
+@query("fragment_missing", "SELECT page_id, count(*) AS dangling FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"/([^\"]*)\">', 1)) AS t FROM pages) WHERE t NOT IN ('The', 'and') GROUP BY page_id")
+def _(spark, sf_dir):
+    links = D.anchors(D.html_nodes(table(spark, sf_dir, "pages"), "page_id"), "page_id").where(F.col("href").startswith("/")).select("page_id", F.substr("href", F.lit(2)).alias("target"))
+    ids_ = links.select("page_id").distinct().crossJoin(spark.createDataFrame([("The",), ("and",)], "node string"))
+    return D.dangling(links, ids_, "page_id", "target", "node").groupBy("page_id").agg(F.count("*").alias("dangling"))
+
+
+# metadata
+
+
+@query("metadata_pivot", """SELECT s, max(o) FILTER (p = 'cdm:resource_legal_id_celex') AS id_local, max(o) FILTER (p = 'cdm:resource_legal_in-force') AS in_force, max(o) FILTER (p = 'cdm:work_date_creation_legacy') AS date_publication,
+    coalesce(string_agg(DISTINCT o, ',' ORDER BY o) FILTER (p = 'cdm:work_cites_work'), '') AS cites, coalesce(string_agg(DISTINCT o, ',' ORDER BY o) FILTER (p = 'cdm:resource_legal_amends_resource_legal'), '') AS amends
+    FROM {triples} t WHERE s IN (SELECT s FROM {triples} u WHERE p = 'cdm:resource_legal_id_celex') GROUP BY s""", t="triples")
+def _(t):
+    r = M.records(t).where(F.col("id_local").isNotNull())
+    return r.select("s", "id_local", "in_force", "date_publication", F.array_join("cites", ",").alias("cites"), F.array_join("amends", ",").alias("amends"))
+
+
+@query("metadata_join", """SELECT coalesce(a.custkey, b.custkey) AS custkey, coalesce(a.day, b.day) AS day, array_to_string(list_sort(list_distinct(list_concat(coalesce(a.c, []), coalesce(b.c, [])))), ',') AS c, a.day IS NOT NULL AND b.day IS NOT NULL AND a.day <> b.day AS clash
+    FROM (SELECT custkey, cast(min(day) AS string) AS day, list(DISTINCT celex) AS c FROM {ids} i WHERE k % 2 = 0 GROUP BY 1) a FULL JOIN (SELECT custkey, cast(min(day) AS string) AS day, list(DISTINCT celex) AS c FROM {ids} i WHERE k % 3 = 0 GROUP BY 1) b ON a.custkey = b.custkey""", i="ids")
+def _(i):
+    side = lambda w: i.where(w).groupBy("custkey").agg(F.min("day").cast("string").alias("day"), F.collect_set("celex").alias("c"))
+    j = M.join_records(side("k % 2 = 0"), side("k % 3 = 0"), "custkey", ["day"], ["c"])
+    return j.select("custkey", "day", F.array_join("c", ",").alias("c"), (F.size("conflicts") > 0).alias("clash"))
+
+
+@query("cleanse_citations", """SELECT c.celex, array_to_string(list_sort(list_filter(c.x, lambda h: h <> '/eu/' || c.celex || '/' AND NOT list_contains(c.a, h))), ',') AS cites, CASE WHEN len(list_filter(c.a, lambda h: h <> '/eu/' || c.celex || '/')) > 0 THEN false ELSE c.in_force END AS in_force
+    FROM (SELECT celex, bool_or(in_force) AS in_force, list(DISTINCT '/eu/' || CASE WHEN n % 2 = 0 THEN celex ELSE 'P' || cast(part % 50 AS string) END || '/') AS x, coalesce(list(DISTINCT '/eu/P' || cast(part % 50 AS string) || '/') FILTER (n % 3 = 0), []) AS a FROM {lines} l GROUP BY celex) c""", l="lines")
+def _(l):  # noqa: E741
+    acts = l.groupBy("celex").agg(F.bool_or("in_force").alias("in_force"), F.collect_set(F.expr("'/eu/' || CASE WHEN n % 2 = 0 THEN celex ELSE 'P' || cast(part % 50 AS string) END || '/'")).alias("cites"), F.collect_set(F.expr("CASE WHEN n % 3 = 0 THEN '/eu/P' || cast(part % 50 AS string) || '/' END")).alias("repealed_by"))
+    return M.cleanse(acts, "celex", ("cites", "repealed_by")).select("celex", F.array_join(F.array_sort("cites"), ",").alias("cites"), "in_force")
+
+
+@query("rdfa_metas", "SELECT celex, 'eli:publication_date' AS property, cast(publication_date AS string) AS content, NULL AS resource, 'xsd:date' AS datatype FROM {acts} a UNION ALL SELECT celex, 'eli:in_force', cast(in_force AS string), NULL, 'xsd:boolean' FROM {acts} a WHERE in_force IS NOT NULL UNION ALL SELECT celex, 'eli:source', NULL, '/eu/' || celex || '/', NULL FROM {acts} a", a="acts")
+def _(a):
+    return M.rdfa(a.withColumn("source", F.expr("'/eu/' || celex || '/'")), "celex", "eli", ["publication_date", "in_force", "source"])
+
+
+# sequences
+
+
+@query("label_resolve")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").where("lang = 'en'")
+    made = F.expr("CASE WHEN pos < 9 THEN '(' || substr('abcdefghij', pos + 1, 1) || ')' WHEN pos = 9 THEN '(i)' WHEN pos = 10 THEN '(ii)' ELSE '(j)' END")
+    items = docs.select(F.col("doc_id").alias("list_id"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("pos")).withColumn("label", made)
+    return S.label_tags(items, "en")
+
+
+@query("toc_nest")
+def _(spark, sf_dir):
+    flat = [*"CHP_I SEC_1 ART_1 ART_2 SEC_2 ART_3 CHP_II ART_4 ANX_I CHP_I ANX_II".split()]
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.array(*map(F.lit, flat))).alias("pos", "ordinate"))
+    return S.toc(docs)
