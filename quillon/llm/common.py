@@ -83,10 +83,7 @@ def range_of(c: Column, cuts: list) -> Column:
     """The number of cuts at or below c (0 for null)."""
     if not cuts:
         return F.lit(0)
-    edges = F.lit(cuts[0]) if len(cuts) == 1 else None
-    if edges is not None:
-        return F.when(c >= edges, 1).otherwise(0)
-    # binary search as a balanced tree of conditions: deep plans are slow, so at most 64-way on two levels
+    # two levels of about the square root each: one flat comparison with every cut would be slow
     step = max(1, int(len(cuts) ** 0.5))
     heads = cuts[::step]
     top = sum((F.when(c >= h, 1).otherwise(0) for h in heads[1:]), F.when(c >= heads[0], 1).otherwise(0))
