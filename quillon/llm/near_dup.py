@@ -18,7 +18,7 @@ BANDS, ROWS = 32, 5
 #: Bits of a register's mantissa; the leading zeros take the six above.
 MANTISSA = 10
 #: Members of a bucket that are compared with each other in one task.
-BLOCK = 512
+BLOCK = 256
 #: How far the estimate may fall below the similarity before a pair is given up: over six standard deviations.
 SLACK = 0.2
 LOCAL_WORDS = 500_000
@@ -94,10 +94,16 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return np.maximum(0.0, (same / np.maximum(used.sum(1), 1) - chance) / (1 - chance))
 
 
-def band_keys(regs: np.ndarray, bands: int = BANDS) -> list[int]:
-    """One key for each band that has a register in use: its number and registers, hashed."""
+def band_keys(regs: np.ndarray, bands: int = BANDS) -> list[tuple[int, int]]:
+    """Number and key of each band that has a register in use; the key is a hash of number and registers."""
     each = regs.reshape(bands, -1)
-    return [xxhash.xxh3_64_intdigest(each[i].tobytes(), seed=i + 1) - (1 << 63) for i in range(bands) if each[i].any()]
+    return [(i, xxhash.xxh3_64_intdigest(each[i].tobytes(), seed=i + 1) - (1 << 63)) for i in range(bands) if each[i].any()]
+
+
+def first_shared(one: np.ndarray, others: np.ndarray, bands: int) -> np.ndarray:
+    """The first band in which a signature agrees with each of the others."""
+    a, b = one.reshape(bands, -1), others.reshape(len(others), bands, -1)
+    return ((a == b).all(2) & a.any(1)).argmax(1)
 
 
 def sketches(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -166,9 +172,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     Equal sets are one class and are compared once. Classes meet in buckets of equal bands. First
     each class is compared with the smallest of its bucket. Then, only in buckets that still hold
-    several components, members of different components are compared by their registers in blocks,
-    so that no link between components is lost and a bucket of copies costs one comparison a member.
-    Every pair is confirmed on full sets. At the similarity of 0.8 the bands miss a pair with a
+    several components, members of different components are compared in blocks, by their registers
+    and then on full sets, so that no link between components is lost and a bucket of copies costs one
+    comparison a member. Every link is confirmed on full sets. At the similarity of 0.8 the bands miss a pair with a
     probability of 3e-6.
     """
     sketch = materialise(sketches(docs, size, bands, rows, text, doc_id))
@@ -180,10 +186,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         for b in batches:
             keys = [band_keys(np.frombuffer(r, "<u2"), bands) for r in b.column("regs").to_pylist()]
             at = np.repeat(np.arange(b.num_rows), [len(k) for k in keys])
-            yield pa.RecordBatch.from_arrays([b.column("rep").take(pa.array(at)), pa.array([x for k in keys for x in k], pa.int64())], names=["rep", "band"])
+            yield pa.RecordBatch.from_arrays([b.column("rep").take(pa.array(at)), pa.array([x for k in keys for _, x in k], pa.int64()), pa.array([i for k in keys for i, _ in k], pa.int32())], names=["rep", "band", "no"])
 
     def banded() -> DataFrame:
-        return classes.select("rep", "regs").mapInArrow(spread, f"rep {kind}, band long")
+        return classes.select("rep", "regs").mapInArrow(spread, f"rep {kind}, band long, no int")
 
     heads = materialise(banded().groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1"))
     members = materialise(banded().join(heads.select("band", "head"), "band"))
@@ -193,13 +199,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     parts = materialise(components(links))
 
     # buckets in which several components are left
-    placed = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
+    placed = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "no", "rep", F.coalesce("component", "rep").alias("component"))
     placed = materialise(placed)
     mixed = materialise(placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("band", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
     left = materialise(placed.join(mixed, "band"))
     left = materialise(left.join(classes.select("rep", "n_shingles", "regs"), "rep"))
-    more = materialise(_across(left, kind, least).join(stars, ["a", "b"], "left_anti"))
-    links = links.union(verified(more, docs, size, text, doc_id))
+    links = links.union(_across(left, docs, kind, least, size, bands, text, doc_id))
     final = materialise(components(links))
 
     by_class = materialise(classes.select("digest", F.col("rep").alias("node")).join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component")))
@@ -208,35 +213,67 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return linked.unionByName(lone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _across(left: DataFrame, kind: str, least: float) -> DataFrame:
-    """Pairs of members of one bucket, but of two components, whose registers allow the similarity.
+def _across(left: DataFrame, docs: DataFrame, kind: str, least: float, size: int, bands: int, text: str, doc_id: str) -> DataFrame:
+    """Links (a, b) between members of one bucket but of two components, enough to join all that are linked.
 
     A bucket is dealt to blocks by a hash of its members, and each pair of blocks is a group, so a
-    group is of a bounded size whatever the bucket's.
+    group is of a bounded size whatever the bucket's. A pair that shares several bands is looked at in
+    the first of them. First the registers tell which members have any partner; those come again with
+    their texts, and their full sets are compared. A group returns a spanning forest of its links, not
+    all of them: at most one link less than it has members.
     """
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = left.withColumn("x", block).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("band", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "rep", "component", "n_shingles", "regs")
-
-    def compare(group: pa.Table) -> pa.Table:
-        n, regs = group["n_shingles"].to_numpy(), np.array([np.frombuffer(r, "<u2") for r in group["regs"].to_pylist()])
-        rep, comp = group["rep"].to_numpy(), group["component"].to_numpy()
-        x, i, j = group["x"].to_numpy(), group["i"][0].as_py(), group["j"][0].as_py()
-        one = np.flatnonzero(x == i)
-        two = np.flatnonzero(x == j)
-        a, b = [], []
+    dealt = dealt.select("band", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "no", "rep", "component", "n_shingles", "regs")
+
+    def partners(k: int, two: np.ndarray, group: dict, no: int, apart: np.ndarray) -> np.ndarray:
+        """Members of the second block that member k may be linked with."""
+        n, regs, rep = group["n"], group["regs"], group["rep"]
+        other = two[apart & (np.minimum(n[two], n[k]) * SIMILARITY[1] >= np.maximum(n[two], n[k]) * SIMILARITY[0])]
+        if group["same"]:
+            other = other[rep[other] > rep[k]]
+        if not len(other):
+            return other
+        score = estimate(np.broadcast_to(regs[k], (len(other), regs.shape[1])), regs[other], np.full(len(other), n[k]), n[other])
+        other = other[score >= least]
+        return other[first_shared(regs[k], regs[other], bands) == no] if len(other) else other
+
+    def columns(t: pa.Table) -> tuple[dict, np.ndarray, np.ndarray, int]:
+        group = {"n": t["n_shingles"].to_numpy(), "regs": np.array([np.frombuffer(r, "<u2") for r in t["regs"].to_pylist()]), "rep": t["rep"].to_numpy(), "same": t["i"][0].as_py() == t["j"][0].as_py()}
+        x = t["x"].to_numpy()
+        return group, np.flatnonzero(x == t["i"][0].as_py()), np.flatnonzero(x == t["j"][0].as_py()), t["no"][0].as_py()
+
+    def involved(t: pa.Table) -> pa.Table:
+        group, one, two, no = columns(t)
+        comp, some = t["component"].to_numpy(), np.zeros(len(t), bool)
+        for k in one.tolist():
+            found = partners(k, two, group, no, comp[two] != comp[k])
+            some[found] = True
+            some[k] |= len(found) > 0
+        return t.filter(pa.array(some))
+
+    def forest(t: pa.Table) -> pa.Table:
+        group, one, two, no = columns(t)
+        names, roots = np.unique(t["component"].to_numpy(), return_inverse=True)
+        shingle, sets, a, b = Shingler(size), {}, [], []
         for k in one.tolist():
-            other = two[(comp[two] != comp[k]) & (np.minimum(n[two], n[k]) * SIMILARITY[1] >= np.maximum(n[two], n[k]) * SIMILARITY[0])]
-            if i == j:
-                other = other[rep[other] > rep[k]]
-            if len(other):
-                score = estimate(np.broadcast_to(regs[k], (len(other), regs.shape[1])), regs[other], np.full(len(other), n[k]), n[other])
-                for m in other[score >= least].tolist():
-                    a.append(min(rep[k], rep[m]))
-                    b.append(max(rep[k], rep[m]))
-        return pa.table({"a": pa.array(a, group["rep"].type), "b": pa.array(b, group["rep"].type)})
-
-    return dealt.groupBy("band", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}").distinct()
+            for m in partners(k, two, group, no, roots[two] != roots[k]).tolist():
+                if roots[m] == roots[k]:
+                    continue
+                for x in (k, m):
+                    if x not in sets:
+                        sets[x] = shingle(t["text"][x].as_py())
+                common = len(np.intersect1d(sets[k], sets[m], assume_unique=True))
+                if common * SIMILARITY[1] >= (len(sets[k]) + len(sets[m]) - common) * SIMILARITY[0]:
+                    roots = np.where(roots == roots[m], roots[k], roots)
+                    a.append(group["rep"][k])
+                    b.append(group["rep"][m])
+        return pa.table({"a": pa.array(a, t["rep"].type), "b": pa.array(b, t["rep"].type)})
+
+    some = materialise(dealt.groupBy("band", "i", "j").applyInArrow(involved, dealt.schema))
+    ids = small(materialise(some.select("rep").distinct()))
+    bodies = materialise(docs.join(ids, F.col(doc_id) == F.col("rep"), "left_semi").select(F.col(doc_id).alias("rep"), F.col(text).alias("text")).dropDuplicates(["rep"]))
+    return some.join(bodies, "rep").groupBy("band", "i", "j").applyInArrow(forest, f"a {kind}, b {kind}").distinct()
 
 
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
