@@ -79,7 +79,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PA
     """
     spark = docs.sparkSession
     ranks = load_ranks(ranks_path)
-    counts = count_words(docs, lambda: (lambda split: lambda t: [w.encode() for w in split(t)])(PreTokens(pattern)), text)
+    counts = count_words(docs, lambda: PreTokens(pattern), text)
     hot, warm, n_warm = split_hot(counts, hot_words)
     table = spark.sparkContext.broadcast(HotTable(encode_words(hot, ranks_path, pattern), "ids"))
     names = ("n_tokens", "ids_sha256", "decoded_sha256") if digest else ("n_tokens", "ids")
@@ -91,14 +91,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PA
         key = [F.col(doc_id).alias("__id"), F.xxhash64("__text").alias("__t")]
 
         def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split = PreTokens(pattern)
-            for b in batches:
-                for i in range(b.num_rows):
-                    words = list(dict.fromkeys(w.encode() for w in split(b.column("__text")[i].as_py())))
-                    may = in_filter(bits.value, words) & (table.value.find(words) < 0)
-                    found = [w for w, m in zip(words, may) if m]
-                    at = pa.array([i] * len(found), pa.int64())
-                    yield pa.RecordBatch.from_arrays([b.column("__id").take(at), b.column("__t").take(at), pa.array(found, pa.binary())], names=["__id", "__t", "word"])
+            split, hot, outside = PreTokens(pattern), table.value, {}
+            for whole in batches:
+                for b in (whole.slice(i, DOCS_AT_ONCE) for i in range(0, whole.num_rows, DOCS_AT_ONCE)):
+                    each = [set(split(t)) for t in b.column("__text").to_pylist()]
+                    if len(outside) > LOCAL_WORDS:
+                        outside.clear()
+                    new = list({w for words in each for w in words if w not in outside})
+                    coded = [w.encode() for w in new]
+                    outside.update(zip(new, (in_filter(bits.value, coded) & (hot.find(coded) < 0)).tolist()))
+                    found = [[w for w in words if outside[w]] for words in each]
+                    at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+                    yield pa.RecordBatch.from_arrays([b.column("__id").take(at), b.column("__t").take(at), pa.array([w.encode() for f in found for w in f], pa.binary())], names=["__id", "__t", "word"])
 
         kind = dict(rows.select(*key).dtypes)["__id"]
         spread = rows.select(*key, "__text").mapInArrow(explode, f"__id {kind}, __t long, word binary").distinct()
@@ -115,29 +119,27 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PA
             pieces[i] = piece
 
         def learn(words: set[str]) -> None:
-            if len(known) > LOCAL_WORDS:
-                known.clear()
-            new = [w for w in words if w not in known]
+            """Remember the ids of words; those outside the table as no bytes."""
+            new = list(words)
             for w, i in zip(new, hot.find([w.encode() for w in new]).tolist()):
-                if i >= 0:
-                    known[w] = hot.bytes_at(i)
+                known[w] = hot.bytes_at(i) if i >= 0 else b""
+
+        def own_ids(words: list[str], packed: list[bytes], own: list | None) -> list[bytes]:
+            mine = {x["word"].decode(): x["ids"] for x in own or ()}
+            for w in {w for w, ids in zip(words, packed) if not ids and w not in mine}:
+                mine[w] = say(w)
+            return [ids or mine[w] for w, ids in zip(words, packed)]
 
         for whole in batches:
             for b in (whole.slice(i, DOCS_AT_ONCE) for i in range(0, whole.num_rows, DOCS_AT_ONCE)):
                 texts = [split(t) for t in b.column("__text").to_pylist()]
-                learn(set().union(*texts))
-                out = []
-                for words, own in zip(texts, b.column("__own").to_pylist()):
-                    mine = {x["word"].decode(): x["ids"] for x in own or ()}
-                    packed = []
-                    for w in words:
-                        ids = known.get(w)
-                        if ids is None:
-                            ids = mine.get(w)
-                            if ids is None:
-                                ids = mine[w] = say(w)
-                        packed.append(ids)
-                    out.append(b"".join(packed))
+                if len(known) > LOCAL_WORDS:
+                    known.clear()
+                found = [list(map(known.get, words)) for words in texts]
+                if fresh := {w for words, packed in zip(texts, found) if None in packed for w, ids in zip(words, packed) if ids is None}:
+                    learn(fresh)
+                    found = [list(map(known.get, words)) if None in packed else packed for words, packed in zip(texts, found)]
+                out = [b"".join(own_ids(words, packed, own) if b"" in packed else packed) for words, packed, own in zip(texts, found, b.column("__own").to_pylist())]
                 cols = [b.column(c) for c in kept] + [pa.array([len(x) // 4 for x in out], pa.int64())]
                 if digest:
                     cols.append(pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string()))

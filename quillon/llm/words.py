@@ -33,14 +33,17 @@ def second_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, seed=_SEED2)
 
 
-def count_words(docs: DataFrame, tokens: Callable[[], Callable[[str], list[bytes]]], text: str = "text") -> DataFrame:
-    """(word binary, n): how often each word occurs in all texts. Tasks count first, so a common word is a few rows."""
+def count_words(docs: DataFrame, tokens: Callable[[], Callable[[str], list]], text: str = "text") -> DataFrame:
+    """(word binary, n): how often each word occurs in all texts. Tasks count first, so a common word is a few rows.
+
+    tokens() gives what splits a text into words, as strings or as UTF-8.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, held = tokens(), Counter()
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+            out = pa.RecordBatch.from_arrays([pa.array([w.encode() if isinstance(w, str) else w for w in held], pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
             held.clear()
             return out
 
