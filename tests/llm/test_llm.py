@@ -298,6 +298,21 @@ def test_passages(spark):
         assert r.start_word == 50 and r.end_word == (118 if r.doc_id % 3 == 2 else 120) and r.ref_start_word == 50 and r.ref_end_word == 120
 
 
+def test_passages_changed(spark):
+    """Recall by brute force: of pairs whose passages differ in 5 to 20 % of their words and are 0.8 alike or more."""
+    rng, rows, alike = random.Random(4), [], {}
+    for n, share in [(60, 0.05), (60, 0.1), (60, 0.15), (80, 0.1), (100, 0.15), (100, 0.2)]:
+        for case in range(40):
+            i, first = len(rows), [f"p{len(rows)}x{j}" for j in range(n)]
+            second = [f"c{i}x{j}" if rng.random() < share else w for j, w in enumerate(first)]
+            rows += [(i + d, " ".join([f"a{i + d}x{j}" for j in range(30)] + p + [f"b{i + d}x{j}" for j in range(30)])) for d, p in enumerate((first, second))]
+            if sum(map(str.__eq__, first, second)) >= 0.8 * n:
+                alike.setdefault((n, share), []).append((i + 1, i))
+    got = {(r.doc_id, r.ref_doc_id) for r in passages.repeated_passages(docs(spark, rows)).collect()}
+    recall = {k: sum(p in got for p in pairs) / len(pairs) for k, pairs in alike.items()}
+    assert min(recall.values()) >= 0.8 and recall[60, 0.05] == 1 and sum(recall.values()) >= 0.95 * len(recall), recall
+
+
 def test_chains_against_all_pairs():
     rng = random.Random(6)
     for _ in range(40):
