@@ -313,6 +313,15 @@ def test_passages_changed(spark):
     assert min(recall.values()) >= 0.8 and recall[60, 0.05] == 1 and sum(recall.values()) >= 0.95 * len(recall), recall
 
 
+def test_passages_behind_other_holders(spark):
+    passage = [f"p{j}" for j in range(60)]
+    filled = lambda i, words: (i, " ".join([f"a{i}x{j}" for j in range(30)] + words + [f"b{i}x{j}" for j in range(30)]))
+    # every seed is first held by a document with a part of the passage
+    rows = [filled(i, passage[12 * i : 12 * i + 24]) for i in range(5)] + [filled(i, passage) for i in (10, 11, 12)]
+    got = {(r.doc_id, r.ref_doc_id): r for r in passages.repeated_passages(docs(spark, rows)).collect()}
+    assert set(got) == {(11, 10), (12, 10)} and all((r.start_word, r.end_word, r.ref_start_word, r.similarity) == (30, 90, 30, 1.0) for r in got.values())
+
+
 def test_chains_against_all_pairs():
     rng = random.Random(6)
     for _ in range(40):
