@@ -322,6 +322,14 @@ def test_passages_behind_other_holders(spark):
     assert set(got) == {(11, 10), (12, 10)} and all((r.start_word, r.end_word, r.ref_start_word, r.similarity) == (30, 90, 30, 1.0) for r in got.values())
 
 
+@pytest.mark.parametrize("period", [1, 12, 30])
+def test_passages_with_a_period(spark, period):
+    run = [f"p{j}" for j in range(period)] * (60 // period)
+    rows = [(i, " ".join([f"a{i}x{j}" for j in range(30)] + run + [f"b{i}x{j}" for j in range(30)])) for i in range(3)]
+    got = [(r.doc_id, r.ref_doc_id, r.start_word, r.end_word, r.matched) for r in passages.repeated_passages(docs(spark, rows)).collect()]
+    assert sorted(got) == [(1, 0, 30, 90, 60), (2, 0, 30, 90, 60)]
+
+
 def test_chains_against_all_pairs():
     rng = random.Random(6)
     for _ in range(40):
