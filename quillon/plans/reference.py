@@ -347,6 +347,12 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.heading_score(F.substr(F.split_part(F.col("text"), F.lit("\n"), F.lit(1)), F.lit(1), F.lit(40))).alias("score"))
 
 
+@query("heading_score_lines", r"""SELECT doc_id, cast(pos - 1 AS int) AS pos, CASE WHEN t = '' OR regexp_matches(t, '[.,:;]$') OR regexp_matches(t, '^\([0-9a-z]{1,3}\)') THEN 0.0::DOUBLE ELSE 1.0::DOUBLE / len(regexp_split_to_array(t, '\s+')) * CASE WHEN upper(t) = t THEN 4 ELSE 1 END END AS score FROM (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS pos, trim(unnest(string_split(text, chr(10)))) AS t FROM documents)""")
+def _(spark, sf_dir):
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return lines.select("doc_id", "pos", text.heading_score(F.col("line")).alias("score"))
+
+
 @query("label_candidates", r"""SELECT doc_id, concat_ws(',', CASE WHEN regexp_matches(label, '^[1-9][0-9]{0,3}\.') THEN 'nump' END,
     CASE WHEN regexp_matches(label, '^[0-9]{1,3}\.?($|[^0-9/();. ])') OR regexp_matches(label, '^[0-9]{1,3}\.? ($|[^o])') OR regexp_matches(label, '^[0-9]{1,3}\.? o($|[^f])') THEN 'numpt' END,
     CASE WHEN regexp_matches(label, '^\([0-9]{1,3}\)') THEN 'numbr' END, CASE WHEN regexp_matches(label, '^\([a-z]\)') THEN 'alpha' END,

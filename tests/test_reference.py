@@ -137,3 +137,10 @@ def test_against_sql(spark, name):
     plain = lambda v: None if v is None else round(v, 9) if isinstance(v, float) else str(v)
     want = sorted((tuple(plain(x) for x in row) for row in r.fetchall()), key=repr)
     assert sorted((tuple(plain(row[c]) for c in names) for row in got.collect()), key=repr) == want
+
+
+def test_heading_score_of_whole_lines(spark, tmp_path):
+    long = "a heading of far more than forty characters that ends with a mark"
+    spark.createDataFrame([(1, f"{long}.\n{long}\nTITLE")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.pos: r.score for r in reference.QUERIES["heading_score_lines"](spark, str(tmp_path)).collect()}
+    assert got == {0: 0.0, 1: pytest.approx(1 / len(long.split())), 2: 4.0}
