@@ -469,7 +469,7 @@ def _(a):
 
 @query("label_resolve")
 def _(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'")
+    docs = table(spark, sf_dir, "documents")
     made = F.expr("CASE WHEN pos < 9 THEN '(' || substr('abcdefghij', pos + 1, 1) || ')' WHEN pos = 9 THEN '(i)' WHEN pos = 10 THEN '(ii)' ELSE '(j)' END")
     items = docs.select(F.col("doc_id").alias("list_id"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("pos")).withColumn("label", made)
     return S.label_tags(items, "en")

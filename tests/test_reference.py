@@ -144,3 +144,8 @@ def test_heading_score_of_whole_lines(spark, tmp_path):
     spark.createDataFrame([(1, f"{long}.\n{long}\nTITLE")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.pos: r.score for r in reference.QUERIES["heading_score_lines"](spark, str(tmp_path)).collect()}
     assert got == {0: 0.0, 1: pytest.approx(1 / len(long.split())), 2: 4.0}
+
+
+def test_label_resolve_covers_all_documents(spark):
+    docs = reference.table(spark, SF, "documents")
+    assert reference.QUERIES["label_resolve"](spark, SF).select("list_id").distinct().count() == docs.select("doc_id").distinct().count()
