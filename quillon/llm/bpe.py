@@ -5,9 +5,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -15,13 +13,14 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from quillon.llm.common import documents, materialise
-from quillon.llm.words import DOCS_AT_ONCE, HOT_WORDS, LOCAL_WORDS, HotTable, count_words, filter_bits, in_filter, split_hot
+from quillon.llm.chunks import ANSWERED, ASKED, KEY_BITS, bucket_bits, bundle, chunked, kept_rows, pack, pack_words, told, unbundle, unpack, unpack_places, unpack_words, word_keys
+from quillon.llm.common import documents, tidied
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: A blank between two white-space characters, or between one and the end: only there does a blank not start a piece.
-_INNER_BLANK = re.compile(r"\s (?:\s|\Z)")
+#: Words of a chunk, at most.
+ENCODED_WORDS = 4_000_000
 
 
 @functools.cache
@@ -30,132 +29,107 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-class PreTokens:
-    """Splits text into the pattern's matches. What lies between blanks is remembered, as most of it recurs."""
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of pattern in a text, one after the other."""
+    found = regex.compile(pattern)
+    return (lambda t: [m.group() for m in found.finditer(t)]) if found.groups else found.findall
 
-    def __init__(self, pattern: str):
-        self.all, self.known = regex.compile(pattern).findall, {}
 
-    def __call__(self, text: str) -> list[str]:
-        if _INNER_BLANK.search(text):
-            return self.all(text)
-        head, *rest = text.split(" ")
-        known = self.known
-        if len(known) > LOCAL_WORDS:
-            known.clear()
-        for c in rest:
-            if c not in known:
-                known[c] = self.all(" " + c)
-        return [*self.all(head), *chain.from_iterable(map(known.__getitem__, rest))]
+def by_bucket(words: list[bytes], groups: np.ndarray, bits: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """(bucket, its words in the order of the list, how many of each group)."""
+    bucket = (word_keys(words) >> np.uint64(KEY_BITS - bits)).astype(np.int64)
+    group = np.repeat(np.arange(len(groups)), groups)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
+        own = order[cuts[k] : cuts[k + 1]]
+        yield k, [words[i] for i in own.tolist()], np.bincount(group[own], minlength=len(groups))
 
 
-def _encoder(ranks: dict[bytes, int], pattern: str) -> Callable[[str], bytes]:
-    coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return lambda word: np.array(coder.encode_ordinary(word), "<u4").tobytes()
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pieces of flat that `at` numbers, by their starts and sizes, one after the other."""
+    n = sizes[at]
+    ends = np.cumsum(n)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - ends + n, n)]
 
 
-def encode_words(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(word, n, ids): each distinct word is encoded once; ids are little-endian unsigned 32-bit integers."""
-    ranks = load_ranks(ranks_path)
+def listed(parts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From the answers of all buckets: numbers of ids of words, the ids, and of each word of the list its place in these."""
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, "<u4"), np.empty(0, np.int64)
+    sizes, flat = (np.concatenate([unpack(p[k]) for p in parts]) for k in (0, 1))
+    groups = np.array([unpack(p[2]) for p in parts]).astype(np.int64)
+    starts = np.cumsum(groups.ravel()) - groups.ravel()
+    # answers are by bucket and then by group, the list by group and then by bucket
+    place = gathered(np.arange(len(sizes)), starts, groups.ravel(), np.arange(groups.size).reshape(groups.shape).T.ravel())
+    return sizes.astype(np.int64), flat.astype("<u4"), place
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        say = _encoder(ranks, pattern)
-        for b in batches:
-            ids = [say(w.decode()) for w in b.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("n"), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
-    return words.mapInArrow(run, "word binary, n long, ids binary")
+def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN, text: str = "text", digest: bool = False, chunk_words: int = ENCODED_WORDS) -> DataFrame:
+    """Add n_tokens and ids (array<int>), or with digest, instead of the text, the SHA-256 of the ids and of their bytes.
 
+    Every match of pattern is a word. A text is split once, into the places of its words in the word list
+    of a chunk of documents. The words of all chunks meet by a shuffle of their hashes; there each distinct
+    word is encoded once, and its ids go back to every chunk that asked. Documents are put together from
+    the ids by position. A word is asked for once a chunk, so a common one is no hot key.
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN, text: str = "text", doc_id: str = "doc_id", hot_words: int = HOT_WORDS, digest: bool = False) -> DataFrame:
-    """Add n_tokens and ids (array<int>), or with digest their SHA-256 and that of the decoded bytes.
-
-    Every match of pattern is a word. Words are counted over all texts by one shuffle of distinct
-    words, and each word that repeats is encoded once. The most frequent ones, hot_words at most, are
-    joined back by a table that each task holds; other repeated words are exploded by document,
-    joined by a shuffle and brought back to their documents. A word found once in all texts is encoded
-    where it stands. A document's ids follow the positions of its words. Null and empty texts have no
-    ids. Rows may repeat. Input columns with the names of results are replaced.
+    Null and empty texts have no ids, very long ones are a chunk of their own, rows may repeat, an empty
+    table stays empty. Input columns with the names of results are replaced; no other name matters.
     """
-    spark = docs.sparkSession
     ranks = load_ranks(ranks_path)
-    counts = count_words(docs, lambda: PreTokens(pattern), text)
-    hot, warm, n_warm = split_hot(counts, hot_words)
-    table = spark.sparkContext.broadcast(HotTable(encode_words(hot, ranks_path, pattern), "ids"))
     names = ("n_tokens", "ids_sha256", "decoded_sha256") if digest else ("n_tokens", "ids")
     kept = [c for c in docs.columns if c not in names and not (digest and c == text)]
-    rows = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-    rows = rows.select(*kept, "__text")
-    if n_warm:
-        bits = spark.sparkContext.broadcast(filter_bits(warm))
-        key = [F.col(doc_id).alias("__id"), F.xxhash64("__text").alias("__t")]
-
-        def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            split, hot, outside = PreTokens(pattern), table.value, {}
-            for whole in batches:
-                for b in (whole.slice(i, DOCS_AT_ONCE) for i in range(0, whole.num_rows, DOCS_AT_ONCE)):
-                    each = [set(split(t)) for t in b.column("__text").to_pylist()]
-                    if len(outside) > LOCAL_WORDS:
-                        outside.clear()
-                    new = list({w for words in each for w in words if w not in outside})
-                    coded = [w.encode() for w in new]
-                    outside.update(zip(new, (in_filter(bits.value, coded) & (hot.find(coded) < 0)).tolist()))
-                    found = [[w for w in words if outside[w]] for words in each]
-                    at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-                    yield pa.RecordBatch.from_arrays([b.column("__id").take(at), b.column("__t").take(at), pa.array([w.encode() for f in found for w in f], pa.binary())], names=["__id", "__t", "word"])
-
-        kind = dict(rows.select(*key).dtypes)["__id"]
-        spread = rows.select(*key, "__text").mapInArrow(explode, f"__id {kind}, __t long, word binary").distinct()
-        joined = spread.join(materialise(encode_words(warm, ranks_path, pattern)), "word")
-        own = joined.groupBy("__id", "__t").agg(F.collect_list(F.struct("word", "ids")).alias("__own")).withColumnsRenamed({"__id": "__id2", "__t": "__t2"})
-        rows = rows.withColumns({"__id": key[0], "__t": key[1]}).join(own, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__t") == F.col("__t2")), "left").select(*kept, "__text", "__own")
-    else:
-        rows = rows.withColumn("__own", F.lit(None).cast("array<struct<word:binary,ids:binary>>"))
+    table = chunked(docs, lambda: splitter(pattern), kept, text, chunk_words)
+    bits = bucket_bits(table)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chunk, packed in zip(b.column("chunk").to_pylist(), b.column("words")):
+                asked = [(k, pack_words(some, sizes)) for k, some, sizes in by_bucket(*unpack_words(packed.as_py()), bits)]
+                cols = [k for k, _ in asked], [chunk] * len(asked), [0] * len(asked), [body for _, body in asked]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.binary()))], names=["bucket", "chunk", "no", "body"])
+
+    def answer(group: pa.Table) -> pa.Table:
+        coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        known: dict[bytes, np.ndarray] = {}
+        bodies = []
+        for body in group["body"]:
+            words, groups = unpack_words(body.as_py())
+            for w in words:
+                if w not in known:
+                    known[w] = np.array(coder._encode_single_piece(w), np.uint64)
+            ids = [known[w] for w in words]
+            bodies.append(bundle([pack(np.fromiter(map(len, ids), np.uint64, len(ids))), pack(np.concatenate(ids)), pack(groups)]))
+        return pa.table({"chunk": group["chunk"], "no": group["no"], "bucket": group["bucket"], "body": pa.array(bodies, pa.binary())})
+
+    replies = table.select("chunk", "words").mapInArrow(tidied(ask), ASKED).groupBy("bucket").applyInArrow(answer, ANSWERED)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, say, hot, known = PreTokens(pattern), _encoder(ranks, pattern), table.value, {}
         pieces = [b""] * (max(ranks.values(), default=-1) + 1)
         for piece, i in ranks.items():
             pieces[i] = piece
-
-        def learn(words: set[str]) -> None:
-            """Remember the ids of words; those outside the table as no bytes."""
-            new = list(words)
-            for w, i in zip(new, hot.find([w.encode() for w in new]).tolist()):
-                known[w] = hot.bytes_at(i) if i >= 0 else b""
-
-        def own_ids(words: list[str], packed: list[bytes], own: list | None) -> list[bytes]:
-            mine = {x["word"].decode(): x["ids"] for x in own or ()}
-            for w in {w for w, ids in zip(words, packed) if not ids and w not in mine}:
-                mine[w] = say(w)
-            return [ids or mine[w] for w, ids in zip(words, packed)]
-
-        for whole in batches:
-            for b in (whole.slice(i, DOCS_AT_ONCE) for i in range(0, whole.num_rows, DOCS_AT_ONCE)):
-                texts = [split(t) for t in b.column("__text").to_pylist()]
-                if len(known) > LOCAL_WORDS:
-                    known.clear()
-                found = [list(map(known.get, words)) for words in texts]
-                if fresh := {w for words, packed in zip(texts, found) if None in packed for w, ids in zip(words, packed) if ids is None}:
-                    learn(fresh)
-                    found = [list(map(known.get, words)) if None in packed else packed for words, packed in zip(texts, found)]
-                out = [b"".join(own_ids(words, packed, own) if b"" in packed else packed) for words, packed, own in zip(texts, found, b.column("__own").to_pylist())]
-                cols = [b.column(c) for c in kept] + [pa.array([len(x) // 4 for x in out], pa.int64())]
+        for b in batches:
+            for i in range(b.num_rows):
+                row = {c: b.column(c)[i].as_py() for c in ("tokens", "lengths", "rows", "told")}
+                lengths = unpack(row["lengths"]).astype(np.int64)
+                sizes, flat, place = listed([unbundle(t["body"]) for t in sorted(row["told"] or [], key=lambda t: t["bucket"])])
+                at, starts, ends, out = place[unpack_places(row["tokens"])], np.cumsum(sizes) - sizes, np.cumsum(lengths), []
+                for s, e in zip((ends - lengths).tolist(), ends.tolist()):
+                    out.append(gathered(flat, starts, sizes, at[s:e]))
+                rows = kept_rows(row["rows"])
+                cols = [*rows.columns, pa.array([len(x) for x in out], pa.int64())]
                 if digest:
-                    cols.append(pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string()))
-                    cols.append(pa.array([hashlib.sha256(b"".join(map(pieces.__getitem__, np.frombuffer(x, "<u4").tolist()))).hexdigest() for x in out], pa.string()))
+                    cols.append(pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in out], pa.string()))
+                    cols.append(pa.array([hashlib.sha256(b"".join(map(pieces.__getitem__, x.tolist()))).hexdigest() for x in out], pa.string()))
                 else:
-                    ends = np.cumsum([0] + [len(x) // 4 for x in out]).astype(np.int32)
-                    cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(out), "<u4").astype(np.int32))))
-                yield pa.RecordBatch.from_arrays(cols, names=[*kept, *names])
+                    cols.append(pa.array([x.astype(np.int32) for x in out], pa.list_(pa.int32())))
+                yield from pa.table(cols, names=[*kept, *names]).combine_chunks().to_batches()
 
     shape = "n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>")
-    return rows.mapInArrow(assemble, schema_with(rows.select(*kept), shape))
-
+    return told(table.select("chunk", "tokens", "lengths", "rows"), [replies]).mapInArrow(tidied(assemble), schema_with(docs.select(*kept), shape))
 
-def schema_with(df: DataFrame, more: str):
-    from pyspark.sql.types import StructType
 
+def schema_with(df: DataFrame, more: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
 
 

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
+import ctypes
+import functools
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The white space that separates words: space, tab to carriage return.
@@ -22,20 +26,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    if path := spark.conf.get("spark.checkpoint.dir", None):
-        return path
-    sc = spark.sparkContext
-    if not (known := sc.getCheckpointDir()):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quillon-"))
-        known = sc.getCheckpointDir()
-    return known
+    """The folder that driver and executors share: spark.checkpoint.dir or, where it is unset, the checkpoint folder of
+    the context or a folder of the warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir')}/quillon-tables"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, *done: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The table is deleted when this process ends.
+    The table is deleted when this process ends; those in `done`, which nothing reads any more, now.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillon-{uuid.uuid4().hex}"
@@ -43,18 +42,53 @@ def materialise(df: DataFrame) -> DataFrame:
     if not _written:
         atexit.register(_delete_written)
     _written[path] = spark
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quillon_path = path
+    discard(*done)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing reads any more, and let Spark drop shuffle files of finished plans."""
+    if not tables:
+        return
+    for t in tables:
+        path = t._quillon_path
+        _delete(path, _written.pop(path))
+    gc.collect()  # Spark drops shuffle files when their plans have gone on both sides
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+
+def _delete(path: str, spark: SparkSession) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _delete_written() -> None:
     for path, spark in _written.items():
         try:
-            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(path, spark)
         except Exception:  # the session has ended; the folder's owner clears what is left
             return
 
 
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run for mapInArrow; afterwards the worker, which lives on, returns its free memory to the system."""
+
+    @functools.wraps(run)
+    def out(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release_memory()
+
+    return out
+
+
+def release_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    ctypes.CDLL(None).malloc_trim(0)
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower-case A to Z only; the plain lower() serves where every character is one byte."""
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))

@@ -353,15 +353,16 @@ def test_language(spark):
     assert all(got[i].lang_pred == "und" and got[i].rejected and got[i].score == 0 for i in (500, 501, 502)) and all(0 <= r.score <= 1 for r in got.values())
 
 
-@pytest.mark.parametrize("hot", [bpe.HOT_WORDS, 5])
-def test_bpe(spark, table, hot):
+@pytest.mark.parametrize("chunk_words", [bpe.ENCODED_WORDS, 50])
+def test_bpe(spark, table, chunk_words):
     path = public_tokenizers.path(bpe.RANKS)
     coder = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
     more = docs(spark, [(900 + i, t) for i, t in enumerate(["a  b", "a   b", " \n  b", "a\n \nb", "  a", "x \n", "don't 's", "<|endoftext|>"])])
     both = table.unionByName(more)
     source = texts(both)
-    for r in bpe.encode(both, path, hot_words=hot, digest=True).collect():
+    for r in bpe.encode(both, path, digest=True, chunk_words=chunk_words).collect():
         ids = np.array(coder.encode_ordinary(source[r.doc_id]), "<u4")
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(ids.tobytes()).hexdigest() and r.decoded_sha256 == hashlib.sha256(source[r.doc_id].encode()).hexdigest()
-    for r in bpe.decode(bpe.encode(both, path, hot_words=hot), path).collect():
+    assert bpe.encode(both, path, chunk_words=chunk_words).count() == len(source)
+    for r in bpe.decode(bpe.encode(both, path, chunk_words=chunk_words), path).collect():
         assert bytes(r.decoded).decode() == source[r.doc_id]
