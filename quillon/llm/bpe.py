@@ -13,9 +13,8 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
-from quillon.llm.chunks import ANSWERED, ASKED, KEY_BITS, bucket_bits, bundle, chunked, kept_rows, pack, pack_words, told, unbundle, unpack, unpack_places, unpack_words, word_keys
+from quillon.llm.chunks import ANSWERED, ASKED, KEY_BITS, bucket_bits, bundle, chunked, kept_rows, pack, pack_words, schema_with, told, unbundle, unpack, unpack_places, unpack_words, word_keys
 from quillon.llm.common import documents, tidied
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -129,10 +128,6 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PA
     return told(table.select("chunk", "tokens", "lengths", "rows"), [replies]).mapInArrow(tidied(assemble), schema_with(docs.select(*kept), shape))
 
 
-def schema_with(df: DataFrame, more: str) -> StructType:
-    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
-
-
 def decode(docs: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     """Add decoded (binary): the bytes of the tokens, joined from the token-byte table, in order. Null ids give null."""
     pieces = load_ranks(ranks_path)

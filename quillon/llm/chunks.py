@@ -18,11 +18,12 @@ import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from quillon.llm.common import materialise, tidied
 
 #: Words and bytes of text that a chunk holds, at most (but for one longer document).
-CHUNK_WORDS, CHUNK_BYTES = 1_500_000, 32 << 20
+CHUNK_WORDS, CHUNK_BYTES = 500_000, 32 << 20
 #: Bits of a key. Two keys of n are taken for one with a chance of n * n / 2 ** 57.
 KEY_BITS = 56
 #: Words of all chunks by bucket, about.
@@ -166,36 +167,39 @@ def asked(keys: np.ndarray, values: list[np.ndarray], bits: int) -> Iterator[tup
         yield i, bundle([pack(np.diff(keys[s:e], prepend=firsts[i])), *(pack(v[s:e]) for v in values)])
 
 
-def summed(table: pa.Table, bits: int, least: int) -> tuple[pa.Table, list[np.ndarray]]:
-    """Answers to the chunks of one bucket, and the totals of its distinct keys.
+def summed(table: pa.Table, bits: int, enough: Callable[..., np.ndarray], returned: int = 1) -> tuple[pa.Table, np.ndarray]:
+    """Answers to the chunks of one bucket, and the first value's totals of its distinct keys.
 
-    For each key whose first value's total is `least` or more the totals of its values, and whether
-    the chunk is the first that asks (it stands for the key where each is to count once).
+    Of each key the totals of all values are taken. enough(first total, number of chunks that ask, other
+    totals) says for which keys chunks are told the totals of the first `returned` values, and whether
+    they are the first to ask (the first stands for the key where each is to count once).
     """
     table = table.sort_by("chunk")
     start = np.uint64(table["bucket"][0].as_py()) << np.uint64(KEY_BITS - bits)
     parts = [unbundle(b) for b in table["body"].to_pylist()]
     keys = [np.cumsum(unpack(p[0])) + start for p in parts]
     every, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    totals = [np.bincount(back, np.concatenate([unpack(p[j]) for p in parts]), len(every)).astype(np.uint64) for j in range(1, len(parts[0]))]
-    enough, is_first, bodies, at = totals[0] >= least, np.zeros(len(back), bool), [], 0
+    totals = [np.bincount(back, np.concatenate([unpack(p[j]) for p in parts]), len(every)).astype(np.int64) for j in range(1, len(parts[0]))]
+    good, is_first, bodies, at = enough(totals[0], np.bincount(back), *totals[1:]), np.zeros(len(back), bool), [], 0
     is_first[first] = True
     for k in keys:
         own = back[at : at + len(k)]
-        there = enough[own]
-        bodies.append(bundle([struct.pack("<Q", len(k)), np.packbits(there).tobytes(), np.packbits(is_first[at : at + len(k)]).tobytes(), *(pack(t[own][there]) for t in totals)]))
+        there = good[own]
+        bodies.append(bundle([struct.pack("<Q", len(k)), np.packbits(there).tobytes(), np.packbits(is_first[at : at + len(k)][there]).tobytes(), *(pack(t[own][there]) for t in totals[:returned])]))
         at += len(k)
-    return pa.table({"chunk": table["chunk"], "no": table["no"], "bucket": table["bucket"], "body": pa.array(bodies, pa.binary())}), totals
+    return pa.table({"chunk": table["chunk"], "no": table["no"], "bucket": table["bucket"], "body": pa.array(bodies, pa.binary())}), totals[0]
 
 
 def answers(told: list[dict], no: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """What `summed` says of a chunk's ascending keys: values (0 where there are too few), and which keys it stands for."""
+    """What `summed` says of a chunk's ascending keys: values (0 where not enough), and which of them it stands for."""
     values, owned = [], []
     for t in sorted((t for t in told or () if t["no"] == no), key=lambda t: t["bucket"]):
         size, there, first, *packed = unbundle(t["body"])
         (n,) = struct.unpack("<Q", size)
         there = np.unpackbits(np.frombuffer(there, np.uint8), count=n).astype(bool)
-        owned.append(np.unpackbits(np.frombuffer(first, np.uint8), count=n).astype(bool))
+        mine = np.zeros(n, bool)
+        mine[there] = np.unpackbits(np.frombuffer(first, np.uint8), count=int(there.sum()))
+        owned.append(mine)
         full = np.zeros((len(packed), n), np.int64)
         for row, p in zip(full, packed):
             row[there] = unpack(p)
@@ -216,3 +220,7 @@ def told(table: DataFrame, replies: list[DataFrame]) -> DataFrame:
 
 def word_keys(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) >> np.uint64(64 - KEY_BITS)
+
+
+def schema_with(df: DataFrame, more: str) -> StructType:
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])

@@ -6,6 +6,7 @@ import atexit
 import ctypes
 import functools
 import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -49,14 +50,20 @@ def materialise(df: DataFrame, *done: DataFrame) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete materialised tables that nothing reads any more, and let Spark drop shuffle files of finished plans."""
-    if not tables:
-        return
+    """Delete materialised tables that nothing reads any more, and have Spark drop the shuffle files of finished plans."""
     for t in tables:
         path = t._quillon_path
         _delete(path, _written.pop(path))
-    gc.collect()  # Spark drops shuffle files when their plans have gone on both sides
-    tables[0].sparkSession.sparkContext._jvm.System.gc()
+    if tables:
+        drop_shuffles(tables[0].sparkSession)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Spark drops shuffle files once their plans are garbage on the driver; don't wait for it to collect that."""
+    for _ in range(2):  # what listeners still hold at first goes in the second round
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def _delete(path: str, spark: SparkSession) -> None:

@@ -1,271 +1,314 @@
-"""LM scoring by a probabilistic suffix tree: words after a blank, the bytes of new words below them."""
+"""LM scoring by a probabilistic suffix tree over words, with a byte tree that spells new words."""
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
-from quillon.llm.common import documents, materialise
+from quillon.llm.chunks import ANSWERED, ASKED, CHUNK_WORDS, KEY_BITS, answers, asked, bucket_bits, chunked, kept_rows, schema_with, summed, told, unpack, unpack_places, unpack_words, word_keys
+from quillon.llm.common import documents, drop_shuffles, materialise, tidied
 from quillon.llm.language_id import part_of
-from quillon.llm.words import DOCS_AT_ONCE, HOT_WORDS, LOCAL_WORDS, HotTable, count_words, split_hot
-
-#: Longest context in bytes; 7 is the most that the packed keys hold.
-DEPTH = 5
-#: A context is retained if it is seen so often and tells so much (in nats over all its sightings).
-MIN_SEEN, MIN_GAIN = 32, 24.0
-#: Mass that each symbol gets beside its count.
-SMOOTH = 0.02
-SYMBOLS = 256
-BLANK, END = 0x20, 0x0A
-#: Powers of ten that tell new words apart by their spelling.
-CLASSES = 48
-#: Entries of a model slice that every task holds, at most (but for single bytes with more).
-SLICE_ENTRIES = 6_000_000
-#: Bytes of words that a task counts at a time.
-CHUNK_BYTES = 4 << 20
+from quillon.llm.near_dup import _mixed
+
+#: Words of the longest context.
+DEPTH = 2
+#: A state counts a next word as its own if it was seen after it so often; what is seen less often is left to shorter suffixes.
+LEAST = 2
+#: Sightings that a state lends to its suffix, besides those of next words that aren't its own.
+LENT = 1.0
+#: What a context must tell (in nats, over all its sightings, each foretold without itself) to be a state of the tree.
+MIN_GAIN = 1.0
+#: Gains are added up in parts of a nat.
+PARTS = 1024
+#: The end of a text, as a word. No word of a text is empty.
+END = b""
+BLANK = 0x20
 
 
 def lower_words(text: str) -> list[bytes]:
-    """A-Z lower-cased, words between white space."""
-    return text.encode().lower().split()
+    """A-Z lower-cased, words between white space, and the end."""
+    return [*text.encode().lower().split(), END]
 
 
-def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of words, each after a blank and ended by one; the word of each byte; how far back its context may go."""
-    buffer = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
-    blank = buffer == BLANK
-    last = np.maximum.accumulate(np.where(blank, np.arange(len(buffer)), 0))
-    word = np.cumsum(blank) - 1
-    # symbol i follows the bytes from the last blank before it
-    return buffer, np.where(blank, word - 1, word)[1:], (np.arange(1, len(buffer)) - last[:-1])
-
-
-def contexts(buffer: np.ndarray, reach: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each length: the symbols (by index) that have such a context, and the packed contexts."""
-    key = np.zeros(len(reach), np.uint64)
-    for d in range(1, depth + 1):
-        back = np.arange(1 - d, len(reach) + 1 - d)
-        key = key | (buffer[np.maximum(back, 0)].astype(np.uint64) << np.uint64(8 * (d - 1)))
-        at = np.flatnonzero(reach >= d)
-        yield d, at, key[at]
-
-
-def count_contexts(words: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(d, ctx, sym, n): sightings of each byte after each context within distinct words, and of one end after a blank."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(words: list[bytes]) -> Iterator[pa.RecordBatch]:
-            buffer, _, reach = spelled(words)
-            symbols = buffer[1:].astype(np.uint64)
-            for d, at, key in contexts(buffer, reach, depth):
-                both, n = np.unique(key << np.uint64(8) | symbols[at], return_counts=True)
-                columns = [pa.array(np.full(len(both), d, np.int32)), pa.array((both >> np.uint64(8)).astype(np.int64)), pa.array((both & np.uint64(255)).astype(np.int32)), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["d", "ctx", "sym", "n"])
-
-        words, held = [], 0
-        for b in batches:
-            for w in b.column("word").to_pylist():
-                words.append(w)
-                held += len(w) + 1
-                if held > CHUNK_BYTES:
-                    yield from emit(words)
-                    words, held = [], 0
-        if words:
-            yield from emit(words)
+class Spelling:
+    """Probabilities of the bytes of new words and the blank after them, by contexts of two bytes within the word.
 
-    end = words.sparkSession.createDataFrame([(1, BLANK, END, 1)], "d int, ctx long, sym int, n long")
-    return words.select("word").mapInArrow(run, "d int, ctx long, sym int, n long").unionByName(end).groupBy("d", "ctx", "sym").agg(F.sum("n").alias("n"))
+    Contexts of two bytes whose next bytes tell less than MIN_GAIN, each foretold without itself, are
+    left to their suffix. Its size is bounded: at most 2 ** 16 contexts of 2 ** 8 bytes.
+    """
 
+    def __init__(self, rows: list[tuple[int, int, int]]):
+        one = np.zeros((256, 256))
+        ctx, sym, n = np.array(rows, np.int64).reshape(-1, 3).T
+        np.add.at(one, (ctx & 255, sym), n)
+        one[BLANK, BLANK] = 0
+        uniform = np.full((256, 256), 1 / 256)
+        uniform[BLANK] = np.where(np.arange(256) == BLANK, 0, 1 / 255)  # no word is empty
+        self.one = (one + LENT * uniform) / (one.sum(1, keepdims=True) + LENT)
+        self.states = np.full(1 << 16, -1, np.int64)
+        long = ctx >> 8 > 0
+        names, at = np.unique(ctx[long], return_inverse=True)
+        two = np.zeros((len(names), 256))
+        np.add.at(two, (at, sym[long]), n[long])
+        base, total = self.one[names & 255], two.sum(1, keepdims=True)
+        seen = two > 0
+        gain = np.where(seen, two * np.log(np.where(seen, (two - 1 + LENT * base) / (np.maximum(total, 1) - 1 + LENT) / base, 1)), 0).sum(1)
+        stay = gain >= MIN_GAIN
+        self.two = np.log10((two + LENT * base) / (total + LENT))[stay]
+        self.one = np.log10(np.maximum(self.one, 1e-300))
+        self.states[names[stay]] = np.arange(stay.sum())
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        """log10 probability of each word."""
+        if not words:
+            return np.empty(0)
+        buffer, ctx, word = spelled(words)
+        state = self.states[ctx]
+        each = self.one[ctx & 255, buffer]
+        if len(self.two):
+            each = np.where(state >= 0, self.two[state, buffer], each)
+        return np.bincount(word, each, len(words))
 
-def retained(seen: DataFrame, depth: int = DEPTH, min_seen: int = MIN_SEEN, min_gain: float = MIN_GAIN) -> DataFrame:
-    """Next-symbol counts (d, ctx, sym, n, total) of the contexts that the divergence test retains.
 
-    A context stays if it was seen min_seen times and the log-likelihood ratio of its next symbols
-    against those of its suffix, one byte shorter, is min_gain or more. Contexts of one byte stay.
-    """
-    totals = seen.groupBy("d", "ctx").agg(F.sum("n").alias("total")).where((F.col("total") >= min_seen) | (F.col("d") == 1))
-    rows = materialise(seen.join(totals, ["d", "ctx"]))
-    parent = rows.select((F.col("d") + 1).alias("d"), F.col("ctx").alias("suffix"), "sym", (F.col("n") / F.col("total")).alias("q"))
-    # the oldest byte is the highest
-    mask = F.expr("shiftleft(bigint(1), (d - 1) * 8) - 1")
-    gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q")))
-    kept = rows.where("d > 1").withColumn("suffix", F.col("ctx").bitwiseAND(mask)).join(parent, ["d", "suffix", "sym"])
-    kept = kept.groupBy("d", "ctx").agg(gain.alias("gain")).where(F.col("gain") >= min_gain).select("d", "ctx")
-    return materialise(rows.where("d = 1").unionByName(rows.join(kept, ["d", "ctx"], "left_semi")))
-
-
-class Slice:
-    """The part of the tree whose contexts end in some bytes, as sorted arrays."""
-
-    def __init__(self, states: DataFrame, depth: int, smooth: float = SMOOTH):
-        got = states.select("d", "ctx", "sym", "n", "total").toArrow()
-        d, ctx, sym, n, total = (got[c].to_numpy() for c in ("d", "ctx", "sym", "n", "total"))
-        self.depth, self.seen, self.logp, self.states, self.unseen = depth, {}, {}, {}, {}
-        for k in range(1, depth + 1):
-            m = d == k
-            c, t = ctx[m].astype(np.uint64), total[m]
-            pair = c << np.uint64(8) | sym[m].astype(np.uint64)
-            order = np.argsort(pair)
-            self.seen[k], self.logp[k] = pair[order], np.log10((n[m] + smooth) / (t + smooth * SYMBOLS))[order]
-            self.states[k], first = np.unique(c, return_index=True)
-            self.unseen[k] = np.log10(smooth / (t[first] + smooth * SYMBOLS))
-
-    def score(self, buffer: np.ndarray, reach: np.ndarray, mine: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol after its longest retained context; 0 where its last byte isn't ours."""
-        out, symbols = np.zeros(len(reach)), buffer[1:].astype(np.uint64)
-        ours = mine[buffer[:-1]]
-        levels = list(contexts(buffer, reach, self.depth))
-        open_ = ours.copy()
-        for d, at, key in reversed(levels):
-            here = open_[at]
-            at, key = at[here], key[here]
-            states = self.states[d]
-            if not len(at) or not len(states):
-                continue
-            k = np.minimum(np.searchsorted(states, key), len(states) - 1)
-            hit = states[k] == key
-            at, k, pair = at[hit], k[hit], key[hit] << np.uint64(8) | symbols[at[hit]]
-            j = np.minimum(np.searchsorted(self.seen[d], pair), len(self.seen[d]) - 1)
-            out[at] = np.where(self.seen[d][j] == pair, self.logp[d][j], self.unseen[d][k])
-            open_[at] = False
-        out[open_] = -math.log10(SYMBOLS)  # a byte that training never saw
+def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of words with a blank after each, the two bytes before each within its word (0 before the start), its word."""
+    whole = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.int64)
+    last, buffer = whole[:-1], whole[1:]
+    before = np.where(last == BLANK, 0, np.r_[0, whole[:-2]])
+    return buffer, before << 8 | last, np.cumsum(last == BLANK) - 1
+
+
+class Grams:
+    """Runs of words that end at each place of a chunk: their keys and, as far as told, how often training has them."""
+
+    def __init__(self, row: dict, total: int, depth: int):
+        self.words, _ = unpack_words(row["words"])
+        self.tokens, lengths = unpack_places(row["tokens"]).astype(np.int32), unpack(row["lengths"]).astype(np.int32)
+        self.rows, self.told, self.total = kept_rows(row["rows"]), row.get("told"), total
+        self.doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        self.place = np.arange(len(self.tokens), dtype=np.int32) - np.repeat(np.cumsum(lengths, dtype=np.int32) - lengths, lengths)
+        self.learnt = self.rows["__learn"].to_numpy(zero_copy_only=False).astype(bool)[self.doc]
+        self.keys, self.n, self.listed = {}, {}, {}
+        self.depth = depth
+
+    def list_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending keys of the word list, and the word of each."""
+        own = word_keys(self.words)
+        order = np.argsort(own, kind="stable")
+        return own, order
+
+    def first(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sets order 1; (sightings in training of each word of the list, words of which this chunk stands for the count)."""
+        own, order = self.list_keys()
+        values, owned = answers(self.told, 1)
+        n, stands, rank = np.zeros(len(own), np.int64), np.zeros(len(own), bool), np.empty(len(own), np.int32)
+        n[order], stands[order], rank[order] = values[0], owned, np.arange(len(own))
+        self.keys[1], self.n[1] = own[self.tokens], n[self.tokens]
+        self.listed[1] = own[order], values[0], rank[self.tokens]
+        return n, stands
+
+    def at(self, order: int) -> np.ndarray:
+        """Places where a run of `order` words may be seen LEAST times: both runs within it are."""
+        short = self.n[order - 1]
+        there = (self.place >= order - 1) & (short >= LEAST)
+        there[1:] &= short[:-1] >= LEAST
+        return np.flatnonzero(there)
+
+    def key(self, order: int) -> np.ndarray:
+        """Keys of the runs that end at each place (of no meaning where one starts before its text)."""
+        before = np.r_[np.uint64(0), self.keys[order - 1][:-1]]
+        self.keys[order] = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + self.keys[1] + np.uint64(order)) >> np.uint64(64 - KEY_BITS)
+        return self.keys[order]
+
+    def learn(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sets n of an order above 1; places of the runs of which this chunk stands for the count (one each), and their n."""
+        at = self.at(order)
+        keys, back = np.unique(self.key(order)[at], return_inverse=True)
+        values, owned = answers(self.told, order)
+        n = values[0] if values else np.zeros(0, np.int64)
+        self.n[order], number = np.zeros(len(self.tokens), np.int64), np.full(len(self.tokens), -1, np.int32)
+        self.n[order][at], number[at] = n[back], back
+        self.listed[order] = keys, n, number
+        some = np.empty(len(keys), np.int64)
+        some[back] = at
+        mine = owned & (n >= LEAST)
+        return some[mine], n[mine]
+
+    def contexts(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Possible states of `order` - 1 words: places that follow one, which one, the ascending keys of all, sightings of each."""
+        there = self.place >= order - 1
+        there[1:] &= self.n[order - 1][:-1] >= LEAST
+        at = np.flatnonzero(there)
+        keys, n, number = self.listed[order - 1]
+        which, present = number[at - 1], np.zeros(len(keys), bool)
+        present[which] = True
+        return at, (np.cumsum(present) - 1)[which], keys[present], n[present]
+
+    def share(self, order: int, at: np.ndarray) -> np.ndarray:
+        """How often the last word follows the words before it but the first."""
+        return self.n[order - 1][at] / (self.n[order - 2][at - 1] if order > 2 else self.total)
+
+
+def _batch(bits: int, chunk: int, no: int, keys: np.ndarray, values: list[np.ndarray]) -> pa.RecordBatch:
+    got = list(asked(keys, values, bits))
+    cols = [k for k, _ in got], [chunk] * len(got), [no] * len(got), [body for _, body in got]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.binary()))], names=["bucket", "chunk", "no", "body"])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], total: int, depth: int) -> Iterator[tuple[int, Grams]]:
+    for b in batches:
+        for i in range(b.num_rows):
+            row = {c: b.column(c)[i].as_py() for c in b.schema.names}
+            yield row["chunk"], Grams(row, total, depth)
+
+
+def is_state(n: np.ndarray, own: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """Whether a context seen n times tells enough: own of them are followed by next words of its own, which add to gain."""
+    return (own > 0) & (gain / PARTS + (n - own) * math.log(LENT) - n * np.log(np.maximum(n, 1) - 1 + LENT) >= MIN_GAIN)
+
+
+def _totals(rows: DataFrame, bits: int, enough: Callable, returned: int = 1) -> DataFrame:
+    def run(group: pa.Table) -> pa.Table:
+        out, n = summed(group, bits, enough, returned)
+        first = np.arange(len(out)) == 0
+        for name, x in (("total", n.sum()), ("kinds", (n > 0).sum()), ("once", (n == 1).sum())):
+            out = out.append_column(name, pa.array(np.where(first, int(x), 0), pa.int64()))
         return out
 
+    return materialise(rows.groupBy("no", "bucket").applyInArrow(run, f"{ANSWERED}, total long, kinds long, once long"))
 
-def slices(states: DataFrame, most: int = SLICE_ENTRIES) -> list[list[int]]:
-    """Groups of last bytes, so that the contexts that end in them are at most `most` entries."""
-    sizes = sorted(map(tuple, states.groupBy(F.col("ctx").bitwiseAND(F.lit(255)).alias("last")).count().collect()))
-    out, held = [[]], 0
-    for last, n in sizes:
-        if out[-1] and held + n > most:
-            out.append([])
-            held = 0
-        out[-1].append(last)
-        held += n
-    out[-1].extend(sorted(set(range(SYMBOLS)) - {k for g in out for k in g}))
-    return out
 
+def score_documents(docs: DataFrame, training: DataFrame | Column, text: str = "text", depth: int = DEPTH, keep: list[str] | None = None, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+    """Add n_tokens, n_known, train_tokens, base_score and score to docs (their columns `keep`, or all).
 
-def spell(words: DataFrame, states: DataFrame, depth: int = DEPTH, slice_entries: int = SLICE_ENTRIES) -> DataFrame:
-    """Add spelled: the log10 probability of a word's bytes and the blank after it.
-
-    The tree is handed to the tasks in slices by the last byte of a context, each of a bounded size;
-    a word's score is the sum over the slices, as each byte's longest context lies in one of them.
+    Learns from the rows of docs for which `training` is true, or from the texts of another table.
+    Tokens are words (A-Z lower-cased, between white space), then one end. base_score is the sum of
+    log10((c + 0.1) / (N + 0.1 * (V + 1))) with a token's count c among the N training tokens of V kinds.
+
+    score is the log10 probability of the text under a suffix tree. Its states are the empty context and
+    runs of up to `depth` words. A run s seen n times in training is a state if the log-likelihood ratio of
+    the words after it against those after its suffix, each sighting foretold without itself, is MIN_GAIN or
+    more. A state foretells a word x seen n(s, x) >= LEAST times after it with n(s, x) / (n + LENT), and hands what is
+    left to its longest suffix that is a state, so its distribution sums to 1. Each token is foretold by the longest
+    state that ends before it. At the empty context a training word has n / (N + k), k being the number of
+    words seen once; k / (N + k) is shared by new words as their spelling is likely, after a byte tree of the words
+    seen once. So all texts together have probability 1 (at most).
+
+    Counts are taken over all training texts: chunks send each run once with its count to a bucket by its
+    hash and are told the total. Runs are asked for only if both runs within them were seen LEAST times.
+
+    Null and empty texts are one end. Rows may repeat; input columns with the names of results are
+    replaced; an empty table stays empty; without training rows all words are new.
     """
-    groups = slices(states, slice_entries)
-    out = words.withColumn("spelled", F.lit(0.0))
-
-    def scorer(lasts: list[int], part):
-        mine = np.zeros(SYMBOLS, bool)
-        mine[lasts] = True
-
+    names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    kept = [c for c in keep or docs.columns if c not in names]
+    if isinstance(training, Column):
+        rows = docs.select(F.col(text).alias("__text"), *kept, F.coalesce(training, F.lit(False)).alias("__learn"), F.lit(True).alias("__out"))
+    else:
+        rows = docs.select(F.col(text).alias("__text"), *kept, F.lit(False).alias("__learn"), F.lit(True).alias("__out"))
+        empty = [F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in kept]
+        rows = rows.unionByName(training.select(F.col(text).alias("__text"), *empty, F.lit(True).alias("__learn"), F.lit(False).alias("__out")))
+    table = chunked(rows, lambda: lower_words, [*kept, "__learn", "__out"], "__text", chunk_words)
+    bits = bucket_bits(table)
+
+    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, c in _chunks(batches, 0, depth):
+            own, order = c.list_keys()
+            yield _batch(bits, chunk, 1, own[order], [np.bincount(c.tokens[c.learnt], minlength=len(own))[order]])
+
+    replies = [_totals(table.select("chunk", "words", "tokens", "lengths", "rows").mapInArrow(tidied(ask_words), ASKED), bits, lambda n, _: n >= 1)]
+    drop_shuffles(docs.sparkSession)
+    total, kinds, once = (int(x or 0) for x in replies[0].agg(F.sum("total"), F.sum("kinds"), F.sum("once")).first())
+
+    def asker(order: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if not b.num_rows:
+            for chunk, c in _chunks(batches, total, depth):
+                c.first()
+                for o in range(2, order):
+                    c.learn(o)
+                at = c.at(order)
+                keys, back = np.unique(c.key(order)[at], return_inverse=True)
+                yield _batch(bits, chunk, order, keys, [np.bincount(back[c.learnt[at]], minlength=len(keys))])
+
+        return tidied(run)
+
+    for order in range(2, depth + 2):
+        replies.append(_totals(told(table, replies).mapInArrow(asker(order), ASKED), bits, lambda n, _: n >= LEAST))
+        drop_shuffles(docs.sparkSession)
+
+    def ask_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, c in _chunks(batches, total, depth):
+            c.first()
+            for order in range(2, depth + 2):
+                mine, n = c.learn(order)
+                at, back, names, seen = c.contexts(order)
+                # a run is counted by one chunk only, at one place
+                number = np.zeros(len(c.tokens), np.int32)
+                number[at] = back
+                q = c.share(order, mine)
+                gain = np.bincount(number[mine], np.rint(PARTS * n * np.log((n - 1 + LENT * q) / q)), len(names))
+                yield _batch(bits, chunk, order + depth, names, [np.bincount(number[mine], n, len(names)), gain, seen])
+
+    # all chunks that ask say the same of how often they have seen a context
+    replies.append(_totals(told(table, replies).mapInArrow(tidied(ask_states), ASKED), bits, lambda own, asks, gain, seen: is_state(seen // asks, own, gain)))
+
+    def count_spellings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for packed, replied in zip(b.column("words"), b.column("told")):
+                words, _ = unpack_words(packed.as_py())
+                order = np.argsort(word_keys(words), kind="stable")
+                values, owned = answers(replied.as_py(), 1)
+                some = [words[i] for i in order[(values[0] == 1) & owned].tolist() if words[i]]
+                if some:
+                    buffer, ctx, _ = spelled(some)
+                    both, n = np.unique(ctx << 8 | buffer, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((both >> 8, both & 255, n), (pa.int32(), pa.int32(), pa.int64()))], names=["ctx", "sym", "n"])
+
+    drop_shuffles(docs.sparkSession)
+    counted = told(table.select("chunk", "words"), replies[:1]).mapInArrow(tidied(count_spellings), "ctx int, sym int, n long").groupBy("ctx", "sym").agg(F.sum("n").alias("n"))
+    spelling = Spelling([tuple(r) for r in counted.collect()])  # 2 ** 24 rows at most: two bytes and the next
+    drop_shuffles(docs.sparkSession)
+    new = max(1, once)
+    scale = math.log10(total + new)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, c in _chunks(batches, total, depth):
+            n, _ = c.first()
+            size = len(c.rows)
+            fresh = np.flatnonzero(n == 0)
+            first = np.log10(np.maximum(n, 1)) - scale
+            # an end that training hasn't takes half of what new words have
+            no_end = math.log10(0.5) if total == 0 else 0.0
+            first[fresh] = math.log10(new) - scale + no_end
+            listed = [c.words[i] for i in fresh.tolist()]
+            first[fresh] += np.where([w == END for w in listed], 0, spelling([w or b"-" for w in listed])) if listed else 0
+            p = first[c.tokens]
+            for order in range(2, depth + 2):
+                c.learn(order)
+                at, back, _, seen = c.contexts(order)
+                values, _ = answers(c.told, order + depth)
+                if not values:
                     continue
-                each = b.column("word").to_pylist()
-                buffer, word, reach = spelled(each)
-                got = np.bincount(word, weights=part.value.score(buffer, reach, mine), minlength=len(each))
-                at = b.schema.get_field_index("spelled")
-                yield pa.RecordBatch.from_arrays([pa.array(c.to_numpy() + got) if i == at else c for i, c in enumerate(b.columns)], names=b.schema.names)
-
-        return run
-
-    for lasts in groups:
-        part = words.sparkSession.sparkContext.broadcast(Slice(states.where(F.col("ctx").bitwiseAND(F.lit(255)).isin(lasts)), depth))
-        out = out.mapInArrow(scorer(lasts, part), out.schema)
-    return out
-
-
-def score_documents(docs: DataFrame, training: DataFrame, text: str = "text", doc_id: str = "doc_id", depth: int = DEPTH, hot_words: int = HOT_WORDS, slice_entries: int = SLICE_ENTRIES) -> DataFrame:
-    """Add n_tokens, n_known, train_tokens, base_score and score to docs, learning from training.
+                own, seen = values[0][back], seen[back].astype(float)
+                at, own, seen = at[own > 0], own[own > 0], seen[own > 0]
+                # a word that is new is far below the least double at times: stay with logarithms there
+                left = np.log10((seen - own + LENT) / (seen + LENT)) + p[at]
+                straight = c.n[order][at] / (seen + LENT)
+                p[at] = np.where(straight > 0, np.log10(straight + 10.0 ** np.maximum(left, -300)), left)
+            base = np.log10((n + 0.1) / (total + 0.1 * (kinds + 1)))
+            per = lambda x: np.bincount(c.doc, x, size)
+            cols = np.bincount(c.doc, minlength=size), per((n > 0)[c.tokens]), np.full(size, total), per(base[c.tokens]), per(p)
+            out = pa.table([*c.rows.select(kept).columns, *(pa.array(x.astype(t)) for x, t in zip(cols, ("i8", "i8", "i8", "f8", "f8")))], names=[*kept, *names])
+            yield from out.filter(c.rows["__out"]).combine_chunks().to_batches()
 
-    Tokens are words (A-Z lower-cased, between white space), then one end. base_score is the sum of
-    log10((c + 0.1) / (N + 0.1 * (V + 1))) with a token's count c among the N training tokens of V
-    kinds. score is the log10 probability of the same tokens under a suffix tree. Its contexts that
-    begin at a blank are the training words themselves, so a word seen c times has c / (N + k); k, the
-    number of training words seen once, is what escapes to new words. Those are scored by shorter
-    suffixes: each byte by the longest retained context within the word, smoothed over all 256 bytes;
-    as for base_score new words aren't single symbols, but they are told apart by the power of ten of
-    their spelling's probability, and each power has the share it has among training words seen once,
-    so an unlikely spelling scores low. Null and empty texts are one end. Rows may repeat; input
-    columns with the names of results are replaced; without training rows all words are new.
-
-    The counts and scores of the most frequent words are a bounded table in every task; all other
-    words of the documents are joined with their counts by a shuffle.
-    """
-    spark = docs.sparkSession
-    n_docs = training.count()
-    counts = count_words(training, lambda: lower_words, text)
-    n_words, kinds, once = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count_if(F.col("n") == 1)).first()
-    total, types, new = n_words + n_docs, kinds + (n_docs > 0), max(1, once)
-    states = retained(materialise(count_contexts(counts, depth)), depth)
-
-    def base(c: Column) -> Column:
-        return F.log10((c + 0.1) / F.lit(total + 0.1 * (types + 1)))
-
-    # how likely the spelling of a new word is, in powers of ten, as of the training words seen once
-    power = lambda spelled: F.least(F.lit(CLASSES - 1), F.floor(-spelled)).cast("int")
-    seen_once = dict(map(tuple, spell(counts.where("n = 1").select("word"), states, depth, slice_entries).groupBy(power(F.col("spelled"))).count().collect()))
-    shares = [math.log10((seen_once.get(k, 0) + 0.5) / (once + 0.5 * CLASSES)) for k in range(CLASSES)]
-
-    def blended(c: Column, spelled: Column) -> Column:
-        fresh = F.get(F.array(*map(F.lit, shares)), power(spelled)) + math.log10(new)
-        return F.when(c > 0, F.log10(c)).otherwise(fresh) - math.log10(total + new)
-
-    hot, _, _ = split_hot(counts, hot_words)
-    hot_scores = spell(hot, states, depth, slice_entries).select("word", base(F.col("n")).alias("base"), blended(F.col("n"), F.col("spelled")).alias("score"))
-    table = spark.sparkContext.broadcast(HotTable(hot_scores, "base", "score"))
-    end_base = math.log10((n_docs + 0.1) / (total + 0.1 * (types + 1)))
-    end_score = math.log10(max(n_docs, 1) / (total + new))
-
-    names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-    kept = [c for c in docs.columns if c not in names]
-    rows = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text"), F.col(doc_id).alias("__id"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, known = table.value, {}
-        for whole in batches:
-            for b in (whole.slice(i, DOCS_AT_ONCE) for i in range(0, whole.num_rows, DOCS_AT_ONCE)):
-                texts = [lower_words(t) for t in b.column("__text").to_pylist()]
-                if len(known) > LOCAL_WORDS:
-                    known.clear()
-                fresh = [w for w in set().union(*texts) if w not in known]
-                for w, i in zip(fresh, hot.find(fresh).tolist()):
-                    known[w] = (float(hot.numbers[0][i]), float(hot.numbers[1][i])) if i >= 0 else None
-                cols: list[list] = [[], [], [], [], []]
-                for words in texts:
-                    got = [known[w] for w in words]
-                    there = [g for g in got if g is not None]
-                    rest = Counter(w for w, g in zip(words, got) if g is None)
-                    row = len(words) + 1, len(there) + (n_docs > 0), math.fsum(g[0] for g in there) + end_base, math.fsum(g[1] for g in there) + end_score, [{"word": w, "k": k} for w, k in rest.items()]
-                    for c, x in zip(cols, row):
-                        c.append(x)
-                kinds = pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), b.column("__id"), b.column("__t"), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=[*kept, "__id", "__t", "n_tokens", "__known", "__base", "__score", "__rest"])
-
-    rows = rows.withColumn("__t", F.xxhash64("__text"))
-    shape = StructType([*rows.select(*kept, "__id", "__t").schema.fields, *StructType.fromDDL("n_tokens long, __known long, __base double, __score double, __rest array<struct<word:binary,k:long>>").fields])
-    done = materialise(rows.mapInArrow(run, shape))
-
-    rare = materialise(counts.join(hot.select("word"), "word", "left_anti"))
-    rest = done.select("__id", "__t", "__rest").where(F.size("__rest") > 0).dropDuplicates(["__id", "__t"]).select("__id", "__t", F.inline("__rest"))
-    spelled_rest = spell(rest.join(rare, "word", "left").select("__id", "__t", "word", "k", F.coalesce("n", F.lit(0)).alias("n")), states, depth, slice_entries)
-    more = spelled_rest.groupBy("__id", "__t").agg(
-        F.sum(base(F.col("n")) * F.col("k")).alias("__b2"), F.sum(blended(F.col("n"), F.col("spelled")) * F.col("k")).alias("__s2"), F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("__k2")
-    ).withColumnsRenamed({"__id": "__id2", "__t": "__t2"})
-    out = done.drop("__rest").join(more, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__t") == F.col("__t2")), "left")
-    added = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
-    return out.select(*kept, "n_tokens", added("__known", "__k2").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), added("__base", "__b2").alias("base_score"), added("__score", "__s2").alias("score"))
+    return told(table, replies).mapInArrow(tidied(score), schema_with(docs.select(*kept), "n_tokens long, n_known long, train_tokens long, base_score double, score double"))
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", (part_of("doc_id", 10) == 0).alias("held_out"))
-    out = score_documents(docs, docs.where("not held_out"))
+    out = score_documents(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

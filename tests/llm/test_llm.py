@@ -168,24 +168,97 @@ def test_lm(spark, table):
         assert r.n_tokens == len(ws) + 1 and r.n_known == sum(c[w] > 0 for w in ws) + 1 and r.train_tokens == total
         assert r.base_score == pytest.approx(sum(base(c[w]) for w in ws) + base(n_docs))
         assert math.isfinite(r.score) and r.score < 0
-    few = {r.doc_id: r for r in lm.score_documents(table, train, hot_words=20, slice_entries=50).collect()}
+    few = {r.doc_id: r for r in lm.score_documents(table, F.col("doc_id") % 4 != 0, chunk_words=40).collect()}
     assert all(few[r.doc_id].score == pytest.approx(r.score) and few[r.doc_id].n_known == r.n_known for r in got)
-    held = [r for r in got if r.doc_id % 4 == 0]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held)
-
-
-def test_suffix_tree_is_a_distribution(spark):
-    words = spark.createDataFrame([(w.encode(),) for w in ["abc", "abd", "abab", "b"] * 20], "word binary")
-    states = lm.retained(lm.count_contexts(words, 3), 3, min_seen=5, min_gain=1.0)
-    tree = lm.Slice(states, 3)
-    mine = np.ones(256, bool)
-    for context in (b" ", b" a", b" ab", b" zz"):
-        total = 0.0
-        for sym in range(256):
-            buffer = np.frombuffer(context + bytes([sym]), np.uint8)
-            reach = np.arange(1, len(buffer))
-            total += 10 ** tree.score(buffer, reach, mine)[-1]
-        assert total == pytest.approx(1.0)
+
+
+def plain_scores(source, learnt, depth):
+    """Scores by plain counts of runs of words."""
+    token = {i: [*t.encode().lower().split(), b""] for i, t in source.items()}
+    runs = Counter(tuple(ws[j : j + k]) for i, ws in token.items() if i in learnt for k in range(1, depth + 2) for j in range(len(ws) - k + 1))
+    total = sum(n for r, n in runs.items() if len(r) == 1)
+    once = [r[0] for r, n in runs.items() if len(r) == 1 and n == 1]
+    counts = Counter()
+    for w in once:
+        if w:
+            buffer, ctx, _ = lm.spelled([w])
+            counts.update(zip(ctx.tolist(), buffer.tolist()))
+    spelling, new = lm.Spelling([(c, x, n) for (c, x), n in counts.items()]), max(1, len(once))
+    after = {}
+    for r, n in runs.items():
+        if len(r) > 1 and n >= 2:
+            after.setdefault(r[:-1], {})[r[-1]] = n
+    states = {}
+    for s, nexts in after.items():
+        n, gain = runs[s], 0.0
+        for x, k in nexts.items():
+            q = runs[(*s[1:], x)] / (runs[s[1:]] if len(s) > 1 else total)
+            gain += k * math.log((k - 1 + q) / (n - 1 + 1) / q)
+        rest = n - sum(nexts.values())
+        gain += rest * math.log(1 / n)
+        if gain >= lm.MIN_GAIN:
+            states[s] = n, nexts
+
+    def p(history, x):
+        out = runs[x,] / (total + new) if runs[x,] else new / (total + new) * (0.5 if total == 0 else 1) * (1 if x == b"" else 10 ** float(spelling([x])[0]))
+        for k in range(1, depth + 1):
+            s = tuple(history[-k:])
+            if len(s) == k and s in states:
+                n, nexts = states[s]
+                out = (nexts.get(x, 0) + (n - sum(nexts.values()) + 1) * out) / (n + 1)
+        return out
+
+    return {i: sum(math.log10(p(ws[:j], x)) for j, x in enumerate(ws)) for i, ws in token.items()}, p, [r[0] for r in runs if len(r) == 1], states
+
+
+def sequences():
+    """Texts in which a word depends on the one before it, new words in some."""
+    rng, follow = random.Random(11), {w: random.Random(w).choices(WORDS[:60], k=3) for w in WORDS[:60]}
+    rows = []
+    for i in range(160):
+        ws = [rng.choice(WORDS[:60])]
+        while len(ws) < 40:
+            ws.append(rng.choice(follow[ws[-1]]) if rng.random() < 0.9 else rng.choice(WORDS[:60]))
+        rows.append((i, " ".join(ws + [f"new{i}"] * (i % 9 == 0))))
+    return rows + [(500 + i, t) for i, t in enumerate(ODD)] + [(600 + i, "a phrase that comes again and again in a text") for i in range(4)]
+
+
+@pytest.mark.parametrize(("depth", "chunk_words"), [(2, 300), (3, 10**6)])
+def test_lm_against_plain_counts(spark, depth, chunk_words):
+    rows = sequences()
+    source = {i: t or "" for i, t in rows}
+    learnt = {i for i in source if i % 4}
+    want, p, known, states = plain_scores(source, learnt, depth)
+    got = {r.doc_id: r for r in lm.score_documents(docs(spark, rows), F.col("doc_id") % 4 != 0, depth=depth, chunk_words=chunk_words).collect()}
+    assert len(states) > 50 and any(len(s) == 2 for s in states)
+    for i, r in got.items():
+        assert r.score == pytest.approx(want[i], rel=1e-6), i
+    # all next words of a history: known ones, and the rest of the mass for new ones
+    for history in ([], [b"w5"], [b"w5", b"w7"], [b"that", b"comes"], [b"nothing"]):
+        assert 0 < p(history, b"zzq") < 1 - sum(p(history, x) for x in known)
+    held = [r for i, r in got.items() if i % 4 == 0 and i < 160]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 30
+    plain, _, _, _ = plain_scores(source, learnt, 0)
+    assert sum(r.score for r in held) > sum(plain[r.doc_id] for r in held) + 100
+
+
+def test_lm_is_a_distribution():
+    words = [w.encode() for w in ["abc", "abd", "abab", "b", "ähm"] * 20]
+    buffer, ctx, _ = lm.spelled(words)
+    rows = [(c, x, n) for (c, x), n in Counter(zip(ctx.tolist(), buffer.tolist())).items()]
+    for known in (rows, []):
+        s = lm.Spelling(known)
+        assert np.allclose((10.0**s.one).sum(1), 1) and np.allclose((10.0**s.two).sum(1), 1)
+        assert (s([b"abc", b"zzzz"])[0] > s([b"zzzz"])[0]) or not known
+        # all words of up to two bytes and the mass of longer ones, by the chance of no blank
+        short = 10.0 ** s([bytes([a]) for a in range(256) if a not in b" "])
+        assert 0 < short.sum() < 1
+    _, p, known, _ = plain_scores(dict(sequences()[:160]), set(range(160)), 2)
+    for history in ([], [b"w5"], [b"w5", b"w7"]):
+        rest = 1 - sum(p(history, x) for x in known)
+        # what known words leave is what new words share: twice the spelling, twice the share
+        s = [p(history, w) for w in (b"zzq", b"new77")]
+        assert rest > 0 and all(0 < x < rest for x in s)
 
 
 def jaccard_components(sets, least=0.8):
