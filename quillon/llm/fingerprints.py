@@ -87,13 +87,20 @@ def _hashes(text: Column, bits: int | None) -> list[Column]:
     return pair if bits is None else [h.bitwiseAND(F.lit((1 << bits) - 1)) for h in pair]
 
 
-def collisions(docs: DataFrame, text: str = "text", bits: int | None = None) -> DataFrame | None:
+def hashed(docs: DataFrame, text: str, bits: int | None = None) -> DataFrame:
+    """docs with __h1 and __h2, the hashes of the canonical text, as a table: folding a text is most of the work."""
+    names = [c for c in docs.columns if c not in ("__h1", "__h2")]
+    return materialise(docs.select(*names, F.struct(canonical(F.col(text)).alias("c")).alias("__canon")).select(*names, *[h.alias(n) for h, n in zip(_hashes(F.col("__canon.c"), bits), ("__h1", "__h2"))]))
+
+
+def collisions(rows: DataFrame, text: str = "text") -> DataFrame | None:
     """Compare bytes inside buckets of equal digests: (digest, canonical, rank) of buckets with several texts, or None.
 
-    The smallest and the largest canonical text of a bucket, taken with partial aggregation whatever
-    the bucket's size, are equal if and only if all are. bits narrows the hash, for tests.
+    rows are as of hashed. Only buckets of several rows are looked at. The smallest and the largest
+    canonical text of a bucket, taken with partial aggregation whatever the bucket's size, are equal if and only if all are.
     """
-    each = docs.select(canonical(F.col(text)).alias("__c")).select("__c", *[h.alias(n) for h, n in zip(_hashes(F.col("__c"), bits), ("__h1", "__h2"))])
+    several = materialise(rows.groupBy("__h1", "__h2").agg(F.min(text).alias("__lo"), F.max(text).alias("__hi")).where("__lo <> __hi").select("__h1", "__h2"))
+    each = rows.join(small(several), ["__h1", "__h2"]).select("__h1", "__h2", canonical(F.col(text)).alias("__c"))
     mixed = materialise(each.groupBy("__h1", "__h2").agg(F.min("__c").alias("__lo"), F.max("__c").alias("__hi")).where("__lo <> __hi").select("__h1", "__h2"))
     if mixed.isEmpty():
         return None
@@ -116,10 +123,12 @@ def fingerprint(docs: DataFrame, text: str = "text", bits: int | None = None) ->
 
     It is a 128-bit xxhash in hexadecimal; where a bucket holds several canonical texts, the second
     and later ones by byte order get their rank appended. Null counts as the empty text, rows that
-    repeat are alike, an input column named fingerprint is replaced, an empty table stays empty.
+    repeat are alike, an input column named fingerprint is replaced (names that begin with two underscores
+    are ours), an empty table stays empty. Texts of any length are folded as a whole.
     """
-    out = docs.withColumn("fingerprint", _digest(_hashes(canonical(F.col(text)), bits)))
-    return _resolve(out, "fingerprint", text, collisions(docs, text, bits)).select(*[c for c in docs.columns if c != "fingerprint"], "fingerprint")
+    rows = hashed(docs, text, bits)
+    out = rows.withColumn("fingerprint", _digest([F.col("__h1"), F.col("__h2")]))
+    return _resolve(out, "fingerprint", text, collisions(rows, text)).select(*[c for c in docs.columns if c != "fingerprint"], "fingerprint")
 
 
 def with_next(rows: DataFrame, after: list[str], doc_id: str = "doc_id") -> DataFrame:
@@ -142,19 +151,23 @@ def with_next(rows: DataFrame, after: list[str], doc_id: str = "doc_id") -> Data
     return both.withColumns({f"next_{c}": F.lead(c).over(order) for c in after}).where("__halo = 0").drop("__halo", "__b")
 
 
-def op8_fingerprints(spark: SparkSession, sf_dir: str, bits: int | None = None) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    mixed = collisions(docs, bits=bits)
-    digest = lambda c: _digest(_hashes(canonical(F.col(c)), bits))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(texts.withColumn("fingerprint", digest("text")), ["text", "fingerprint"])
-    n = F.length("text")
+def edited_texts(text: str = "text", next_text: str = "next_text") -> Column:
+    """The text with its last floor(n / 4) of n code points replaced by the first as many, or all, of the next text."""
+    n = F.length(text)
     cut = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
-    rows = rows.withColumns({"n_chars": n.cast("long"), "edited": edited})
-    rows = rows.withColumn("edited_fingerprint", digest("edited"))
+    return F.concat(F.substring(text, F.lit(1), n - cut), F.substring(next_text, F.lit(1), cut))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str, bits: int | None = None) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    known = hashed(docs, "text", bits)
+    mixed = collisions(known)
+    rows = with_next(known.select("doc_id", "text", _digest([F.col("__h1"), F.col("__h2")]).alias("fingerprint")), ["text", "fingerprint"])
+    # a struct keeps the planner from folding a text anew for each of its hashes
+    rows = rows.select("*", F.length("text").cast("long").alias("n_chars"), edited_texts().alias("edited"))
+    rows = rows.select("*", F.struct(canonical(F.col("edited")).alias("c")).alias("__canon")).select(*rows.columns, _digest(_hashes(F.col("__canon.c"), bits)).alias("edited_fingerprint"))
     # equal digests are confirmed byte by byte
-    same = lambda a, b, x, y: F.when((F.col(a) == F.col(b)) & (canonical(F.col(x)) == canonical(F.col(y))), 1.0).otherwise(0.0)
+    same = lambda a, b, x, y: F.when((F.col(a) == F.col(b)) & ((F.col(x) == F.col(y)) | (canonical(F.col(x)) == canonical(F.col(y)))), 1.0).otherwise(0.0)
     rows = rows.withColumns({"near_edited": same("fingerprint", "edited_fingerprint", "text", "edited"), "near_next": same("fingerprint", "next_fingerprint", "text", "next_text")})
     rows = _resolve(_resolve(rows, "fingerprint", "text", mixed), "edited_fingerprint", "edited", mixed)
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")

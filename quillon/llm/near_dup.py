@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillon.llm.common import components, documents, materialise, small
+from quillon.llm.common import components, documents, materialise, small, tidied
 
 #: Words of a shingle, and the similarity from which two documents are linked.
 SHINGLE, SIMILARITY = 4, (80, 100)
@@ -116,7 +116,7 @@ def sketches(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int
             columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([registers(s, bands * rows).tobytes() for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["doc_id", "n_shingles", "digest", "regs"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(run, f"doc_id {dict(docs.dtypes)[doc_id]}, n_shingles long, digest binary, regs binary")
+    return docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(tidied(run), f"doc_id {dict(docs.dtypes)[doc_id]}, n_shingles long, digest binary, regs binary")
 
 
 def _column(b: pa.RecordBatch, name: str, kind: str) -> np.ndarray:
@@ -142,7 +142,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, text: str =
     """Pairs (a, b) whose full shingle sets are similar: 100 * intersection >= 80 * union."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b"))).distinct()
     ids = small(materialise(ids))
-    need = materialise(docs.join(ids, F.col(doc_id) == F.col("id"), "left_semi").select(F.col(doc_id).alias("id"), F.col(text).alias("t")).dropDuplicates(["id"]))
+    need = materialise(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(ids, "id", "left_semi").dropDuplicates(["id"]))
     one = materialise(pairs.join(need.select(F.col("id").alias("b"), F.col("t").alias("t_b")), "b"))
     both = one.join(need.select(F.col("id").alias("a"), F.col("t").alias("t_a")), "a").select("a", "b", "t_a", "t_b")
 
@@ -158,7 +158,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, text: str =
                 keep.append(common * SIMILARITY[1] >= (len(held) + len(other) - common) * SIMILARITY[0])
             yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return both.mapInArrow(run, pairs.select("a", "b").schema)
+    return both.mapInArrow(tidied(run), pairs.select("a", "b").schema)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
@@ -168,7 +168,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     a shorter text is one shingle. Documents are linked if 100 * intersection >= 80 * union of their
     full sets. Null and empty texts have no shingles and no links. component_id is the smallest doc_id
     that links reach; kept marks it. doc_id is taken to be unique; rows that repeat it with the same
-    text come back as often, and null ids are components of their own.
+    text come back as often, and null ids are components of their own. Other columns don't matter,
+    whatever their names, and an empty table gives an empty one.
 
     Equal sets are one class and are compared once. Classes meet in buckets of equal bands. First
     each class is compared with the smallest of its bucket. Then, only in buckets that still hold
@@ -272,7 +273,7 @@ def _across(left: DataFrame, docs: DataFrame, kind: str, least: float, size: int
 
     some = materialise(dealt.groupBy("band", "i", "j").applyInArrow(involved, dealt.schema))
     ids = small(materialise(some.select("rep").distinct()))
-    bodies = materialise(docs.join(ids, F.col(doc_id) == F.col("rep"), "left_semi").select(F.col(doc_id).alias("rep"), F.col(text).alias("text")).dropDuplicates(["rep"]))
+    bodies = materialise(docs.select(F.col(doc_id).alias("rep"), F.col(text).alias("text")).join(ids, "rep", "left_semi").dropDuplicates(["rep"]))
     return some.join(bodies, "rep").groupBy("band", "i", "j").applyInArrow(forest, f"a {kind}, b {kind}").distinct()
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillon.llm.common import components, materialise
+from quillon.llm.common import components, materialise, tidied
 
 #: Cosine from which two vectors are linked.
 COSINE = 0.93
@@ -99,7 +99,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
     every class is looked up in its own list and those whose border lies within SIGMAS deviations of
     the linking distance; a link is missed only if it crosses more than that in both directions.
     Candidates by asymmetric distances are confirmed by the cosine of the full vectors in double
-    precision. A long list, or one with many queries, is compared in blocks.
+    precision. A long list, or one with many queries, is compared in blocks, each of which returns counts
+    and a spanning forest. Other columns don't matter, whatever their names; an empty table gives an empty one.
     """
     spark = vectors.sparkSession
     kind, label_kind = dict(vectors.dtypes)[vec_id], dict(vectors.dtypes)[label]
@@ -107,16 +108,15 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
     fine = e.isNotNull() & F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(e, lambda v: v != 0)
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(label).alias("label"), e.alias("embedding"), F.coalesce(fine & F.col(label).isNotNull() & F.col(vec_id).isNotNull(), F.lit(False)).alias("fine"))
     classes = materialise(rows.where("fine").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
-    links = None
+    found = None
     for length, count in sorted(map(tuple, classes.groupBy(F.size("embedding").alias("length")).count().collect())):
-        found = _links(classes.where(F.size("embedding") == length), count, cosine, sample, block, kind, label_kind)
-        links = found if links is None else links.unionByName(found)
-    if links is None:
-        links = spark.createDataFrame([], f"a {kind}, b {kind}")
-    links = materialise(links.distinct())
-    sizes = classes.select(F.col("rep"), "n")
-    both = links.select(F.col("a").alias("rep"), F.col("b").alias("other")).union(links.select("b", "a"))
-    counted = materialise(materialise(both).join(sizes.select(F.col("rep").alias("other"), F.col("n").alias("m")), "other").groupBy("rep").agg(F.sum("m").alias("m")))
+        some = _links(classes.where(F.size("embedding") == length), count, cosine, sample, block, kind, label_kind)
+        found = some if found is None else found.unionByName(some)
+    if found is None:
+        found = spark.createDataFrame([], f"rep {kind}, other {kind}, m long")
+    found = materialise(found)
+    counted = materialise(found.where("other is null").groupBy("rep").agg(F.sum("m").alias("m")))
+    links = found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
     parts = materialise(components(links).select(F.col("node").alias("rep"), F.col("component").alias("component_id")))
     known = materialise(classes.join(counted, "rep", "left").join(parts, "rep", "left").select("label", "embedding", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")))
     linked = rows.where("fine").join(known, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
@@ -125,7 +125,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
 
 
 def _links(classes: DataFrame, count: int, cosine: float, sample: int, block: int, kind: str, label_kind: str) -> DataFrame:
-    """Pairs (a, b), a < b, of classes of one vector length with equal labels."""
+    """What classes of one vector length and equal labels are linked with: rows (rep, null, m), m to be added up, and
+    rows (rep, other, null) of links that join all that are linked: of each block a spanning forest, not all pairs."""
     spark = classes.sparkSession
     drawn = np.array([r[0] for r in classes.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("embedding").collect()], float)
     drawn /= np.linalg.norm(drawn, axis=1)[:, None]
@@ -146,9 +147,11 @@ def _links(classes: DataFrame, count: int, cosine: float, sample: int, block: in
             member = np.concatenate([np.r_[True, np.zeros(len(p), bool)] for p in probes])
             take = b.take(pa.array(at))
             coded = [codes[i].tobytes() if m else None for i, m in zip(at, member)]
-            yield pa.RecordBatch.from_arrays([take.column("rep"), take.column("label"), take.column("embedding"), pa.array(lists), pa.array(member), pa.array(coded, pa.binary()), pa.array(error[at])], names=["rep", "label", "embedding", "list", "member", "codes", "error"])
+            asks = [probes[i].tolist() if m else [own[i]] for i, m in zip(at, member)]
+            cols = [*(take.column(c) for c in ("rep", "label", "n", "embedding")), pa.array(lists), pa.array(member), pa.array(coded, pa.binary()), pa.array(error[at]), pa.array(asks, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["rep", "label", "n", "embedding", "list", "member", "codes", "error", "asks"])
 
-    spread = materialise(classes.select("rep", "label", "embedding").mapInArrow(assign, f"rep {kind}, label {label_kind}, embedding {dict(classes.dtypes)['embedding']}, list int, member boolean, codes binary, error double"))
+    spread = materialise(classes.select("rep", "label", "n", "embedding").mapInArrow(tidied(assign), f"rep {kind}, label {label_kind}, n long, embedding {dict(classes.dtypes)['embedding']}, list int, member boolean, codes binary, error double, asks array<int>"))
     sizes = materialise(spread.groupBy("label", "list").agg(F.ceil(F.count_if("member") / block).cast("int").alias("m"), F.ceil(F.count_if(~F.col("member")) / block).cast("int").alias("q")).where("m > 0 and q > 0"))
     here = F.pmod(F.xxhash64("rep"), F.when(F.col("member"), F.col("m")).otherwise(F.col("q"))).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.when(F.col("member"), F.col("q")).otherwise(F.col("m")) - 1))
@@ -158,22 +161,38 @@ def _links(classes: DataFrame, count: int, cosine: float, sample: int, block: in
     def compare(group: pa.Table) -> pa.Table:
         q, is_member = fitted.value, group["member"].to_numpy()
         members, queries = group.filter(pa.array(is_member)), group.filter(pa.array(~is_member))
+        kinds = pa.schema([("rep", group["rep"].type), ("other", group["rep"].type), ("m", pa.int64())])
+        if not len(members) or not len(queries):
+            return kinds.empty_table()
+        x, y = _matrix(members["embedding"]), _matrix(queries["embedding"])
+        long_x, long_y = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
+        codes = np.array([np.frombuffer(c, np.uint8) for c in members["codes"].to_pylist()])
+        error, centre = members["error"].to_numpy(), group["list"][0].as_py()
+        names, place = np.unique(np.concatenate([members["rep"].to_numpy(), queries["rep"].to_numpy()]), return_inverse=True)
+        mine, asking = place[: len(x)], place[len(x) :]
+        size, roots, counts = np.concatenate([members["n"].to_numpy(), queries["n"].to_numpy()]), np.arange(len(names)), np.zeros(len(names), np.int64)
+        n_x, n_y, probed = size[: len(x)], size[len(x) :], [set(p) for p in members["asks"].to_pylist()]
         a, b = [], []
-        if len(members) and len(queries):
-            x, y = _matrix(members["embedding"]), _matrix(queries["embedding"])
-            long_x, long_y = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
-            codes = np.array([np.frombuffer(c, np.uint8) for c in members["codes"].to_pylist()])
-            error, centre = members["error"].to_numpy(), group["list"][0].as_py()
-            mine, asks = members["rep"].to_pylist(), queries["rep"].to_pylist()
-            for i in range(len(y)):
-                some = q.near(y[i] / long_y[i], centre, codes, error)
-                for j in some[(x[some] @ y[i]) / (long_x[some] * long_y[i]) >= cosine].tolist():
-                    if mine[j] != asks[i]:
-                        a.append(min(mine[j], asks[i]))
-                        b.append(max(mine[j], asks[i]))
-        return pa.table({"a": pa.array(a, group["rep"].type), "b": pa.array(b, group["rep"].type)})
-
-    return dealt.select("rep", "embedding", "list", "member", "codes", "error", "label", "x", "y").groupBy("label", "list", "x", "y").applyInArrow(compare, f"a {kind}, b {kind}")
+        for i, home in enumerate(queries["asks"].to_pylist()):
+            some = q.near(y[i] / long_y[i], centre, codes, error)
+            some = some[(x[some] @ y[i]) / (long_x[some] * long_y[i]) >= cosine]
+            some = some[mine[some] != asking[i]]
+            if not len(some):
+                continue
+            # a pair is counted where the smaller one asks or, if the larger doesn't ask the smaller's list, there
+            once = some[(asking[i] < mine[some]) | np.array([home[0] not in probed[j] for j in some.tolist()])]
+            counts[asking[i]] += n_x[once].sum()
+            np.add.at(counts, mine[once], n_y[i])
+            for r in np.unique(roots[mine[some]]).tolist():
+                if r != roots[asking[i]]:
+                    a.append(asking[i])
+                    b.append(mine[some][roots[mine[some]] == r][0])
+                    roots[roots == r] = roots[asking[i]]
+        there = np.flatnonzero(counts)
+        return pa.Table.from_arrays([pa.array(np.concatenate([names[there], names[np.array(a, int)]]), kinds.field(0).type), pa.array([*[None] * len(there), *names[np.array(b, int)].tolist()], kinds.field(1).type), pa.array([*counts[there].tolist(), *[None] * len(a)], pa.int64())], schema=kinds)
+
+    shape = f"rep {kind}, other {kind}, m long"
+    return dealt.select("rep", "n", "embedding", "list", "member", "codes", "error", "asks", "label", "x", "y").groupBy("label", "list", "x", "y").applyInArrow(compare, shape)
 
 
 def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,7 @@ def texts(df):
 
 @pytest.mark.parametrize("run", [
     lambda d: line_dedup.drop_repeated_lines(d), lambda d: fingerprints.fingerprint(d), lambda d: sharding.shard_by_size(d), lambda d: near_dup.near_duplicates(d), lambda d: passages.repeated_passages(d),
+    lambda d: vector_dedup.near_vectors(d.select(F.col("doc_id").alias("vec_id"), F.array(F.lit(1.0)).alias("embedding"), F.lit(1).alias("label"))),
     lambda d: language_id.identify_language(d, language_id.fit(d)), lambda d: bpe.encode(d, public_tokenizers.path(bpe.RANKS)), lambda d: lm.score_documents(d, d), lambda d: mixing.mix_sources(d.withColumn("size", F.length(F.coalesce("text", F.lit(""))).cast("long"))),
 ])
 def test_empty_tables(spark, run):
@@ -332,6 +333,37 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def linked_components(links):
+    out = {}
+    for i in sorted(links):
+        todo = [i]
+        while todo:
+            j = todo.pop()
+            if j not in out:
+                out[j] = i
+                todo += links[j]
+    return out
+
+
+def test_vectors_of_64_dimensions(spark):
+    """Recall on planted links: groups of near copies, one of them large, among vectors that link with nothing."""
+    rng, rows = np.random.default_rng(8), []
+    unit = lambda: rng.normal(size=64) / 8
+    for size in [1] * 300 + [2, 3, 5] * 30 + [150]:
+        centre = unit()
+        rows += [(len(rows) + k, [float(x) for x in centre + 0.18 * unit()], 1) for k in range(size)]
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = (x @ x.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    links = {i: set(np.flatnonzero(r).tolist()) for i, r in enumerate(near)}
+    for block in (1024, 32):
+        got = {r.vec_id: r for r in vector_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), block=block).collect()}
+        assert all(got[i].n_links <= len(links[i]) for i in links)
+        assert sum(r.n_links for r in got.values()) >= 0.995 * near.sum() and near.sum() > 10_000
+        components = linked_components(links)
+        assert sum(got[i].component_id == components[i] for i in links) >= 0.995 * len(links)
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(3)
     rows = []
@@ -351,6 +383,8 @@ def test_vectors(spark):
         found = sum(r.n_links for r in got.values())
         want = sum(map(len, links.values()))
         assert all(got[i].n_links <= len(links[i]) for i in links) and found >= 0.99 * want and want > 50
+        if found == want:
+            assert {i: r.component_id for i, r in got.items()} == linked_components(links)
         assert all(r.kept == (r.vec_id == r.component_id) for r in got.values()) and len(got) == len(rows)
 
 
