@@ -16,6 +16,9 @@ from quillon.llm.common import documents, materialise
 #: The result can't be expressed in SQL: compression, sketches and random rounding decide. It is tested against plain versions.
 ORACLE_SQL = None
 
+#: Words of a chunk that is encoded at a time: less than op10's, as workers have done other stages before.
+WORDS_AT_ONCE = 1_500_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the labelled documents; documents without letters or of which no language is the nearest go."""
@@ -32,7 +35,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of similar documents (five-word shingles, 0.8) the one with the smallest id stays."""
     groups = near_dup.near_duplicates(docs.select("doc_id", "text"), size=5)
-    kept = materialise(groups.where("kept").select("doc_id").distinct())
+    kept = materialise(groups.where("kept").select("doc_id").distinct(), groups)
     return docs.join(kept.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(*docs.columns)
 
 
@@ -45,7 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, as their number and digest, and the digest of what they decode to."""
-    out = bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path(bpe.RANKS), digest=True)
+    out = bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path(bpe.RANKS), digest=True, chunk_words=WORDS_AT_ONCE)
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

@@ -153,7 +153,9 @@ def components(edges: DataFrame) -> DataFrame:
         down = materialise(large.groupBy("a").agg(F.min("b").alias("m")))
         joined = large.join(down, "a")
         nxt = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
-        now = materialise(nxt.where("a <> b").distinct())
+        before, now = now, materialise(nxt.where("a <> b").distinct())
+        for t in (before, least, large, down):
+            _delete(t._quillon_path, _written.pop(t._quillon_path))
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break

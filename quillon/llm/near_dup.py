@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillon.llm.common import components, documents, materialise, small, tidied
+from quillon.llm.common import components, discard, documents, materialise, small, tidied
 
 #: Words of a shingle, and the similarity from which two documents are linked.
 SHINGLE, SIMILARITY = 4, (80, 100)
@@ -21,7 +21,7 @@ MANTISSA = 10
 BLOCK = 256
 #: How far the estimate may fall below the similarity before a pair is given up: over six standard deviations.
 SLACK = 0.2
-LOCAL_WORDS = 500_000
+LOCAL_WORDS = 300_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -32,23 +32,30 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+class Hashes(dict):
+    """64-bit hashes of words, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = xxhash.xxh3_64_intdigest(word)
+        return n
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > LOCAL_WORDS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
 
     def __init__(self, size: int = SHINGLE):
-        self.size, self.known = size, {}
+        self.size, self.known = size, Hashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().lower().split()
         if not words:
             return np.empty(0, np.uint64)
-        known = self.known
-        if len(known) > LOCAL_WORDS:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        h = self.known.of(words)
         n = max(1, len(h) - self.size + 1)
         out = np.full(n, min(len(h), self.size), np.uint64)
         for i in range(min(len(h), self.size)):
@@ -200,18 +207,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     parts = materialise(components(links))
 
     # buckets in which several components are left
-    placed = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "no", "rep", F.coalesce("component", "rep").alias("component"))
-    placed = materialise(placed)
+    placed = materialise(members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("band", "no", "rep", F.coalesce("component", "rep").alias("component")))
     mixed = materialise(placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("band", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    left = materialise(placed.join(mixed, "band"))
-    left = materialise(left.join(classes.select("rep", "n_shingles", "regs"), "rep"))
+    some = materialise(placed.join(mixed, "band"))
+    left = materialise(some.join(classes.select("rep", "n_shingles", "regs"), "rep"), some)
     links = links.union(_across(left, docs, kind, least, size, bands, text, doc_id))
     final = materialise(components(links))
+    discard(heads, members, stars, placed, mixed, left, parts)
 
     by_class = materialise(classes.select("digest", F.col("rep").alias("node")).join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component")))
+    discard(classes, final)
     linked = valid.select("doc_id", "n_shingles", "digest").join(by_class, "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     lone = sketch.where(F.col("doc_id").isNull() | (F.col("n_shingles") == 0)).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(lone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return materialise(linked.unionByName(lone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), sketch, by_class)
 
 
 def _across(left: DataFrame, docs: DataFrame, kind: str, least: float, size: int, bands: int, text: str, doc_id: str) -> DataFrame:
