@@ -9,7 +9,7 @@ QUOTES = ("‧", "'", '"')
 QUOTE_PAIRS = (("‘", "’"), ("“", "”"), ("„", "“"))
 #: Label patterns in order of hierarchy, the characters stripped from them, and languages that have them.
 NBSP = "\u00a0"
-ROMAN = r"[ivxl]+"
+ROMAN = r"(?=[ivxl])(?:xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
 LABELS = {
     "nump": {"en": r"^[1-9][0-9]{0,3}\." + NBSP + "{0,3}", "es": r"^[1-9][0-9]{0,3}\." + NBSP + "{0,3}", "de": r"^\([0-9]{1,3}\)"},
     "numpt": {"en": r"^[0-9]{1,3}\.?(?!([0-9/();]| of))", "es": r"^[0-9]{1,3}\.?(?!([0-9/();]| de))"},

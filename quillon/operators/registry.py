@@ -9,8 +9,13 @@ FINAL_FAILURES = ("failed", "repealer", "impossible")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], overwrite: list[str]) -> DataFrame:
-    """Merge rows by keys: non-null new values of the overwrite columns win, other columns are set only where missing."""
+    """Merge rows by keys: non-null new values of the overwrite columns win, other columns are set only where missing.
+
+    Several new rows of a key count as one, with the greatest non-null value of each column; where their
+    order matters, reduce them first (newest_hits).
+    """
     names = [c for c in old.columns if c not in keys]
+    new = new.groupBy(*keys).agg(*[F.max(c).alias(c) for c in new.columns if c not in keys])
     fresh = new.select(*keys, *[F.col(c).alias(f"__{c}") if c in new.columns else F.lit(None).cast(dict(old.dtypes)[c]).alias(f"__{c}") for c in names])
     pick = lambda c: F.coalesce(f"__{c}", c) if c in overwrite else F.coalesce(c, f"__{c}")
     return old.join(fresh, keys, "full").select(*keys, *[pick(c).alias(c) for c in names])
@@ -26,6 +31,36 @@ def merge_hits(hits: DataFrame, key: str = "celex", order: str = "ord", language
     return hits.groupBy(key).agg(*[F.min_by(F.struct(c), order)[c].alias(c) for c in rest], F.array_sort(F.collect_set(languages)).alias("languages"))
 
 
+def newest_hits(hits: DataFrame, key: str = "celex", order: str = "ord", languages: str = "language") -> DataFrame:
+    """One row per key: of each column the last value that isn't null, the languages of all."""
+    rest = [c for c in hits.columns if c not in (key, order, languages)]
+    return hits.groupBy(key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in rest], F.array_sort(F.collect_set(languages)).alias("languages"))
+
+
+def register(hits: DataFrame) -> dict[str, DataFrame]:
+    """The rows that search hits make: act, version, representation, corrigendum, correpresentation.
+
+    A hit has celex, language, date, in_force, title and url. The id of a consolidated text (0...-date) is a version
+    of the act it consolidates, that of a corrigendum (...R(nn)) a corrigendum of the act it corrects; both make a
+    bare row of that act where no hit names it. Rows are distinct by their keys.
+    """
+    correction = r"R\([0-9]{1,2}\)$"
+    act = F.when(F.col("celex").startswith("0"), F.concat(F.lit("3"), F.substring("celex", 2, 9))).otherwise(F.regexp_replace("celex", correction, ""))
+    kind = F.when(F.col("celex").rlike(r"^0.*-[0-9]{8}$"), "version").when(F.col("celex").rlike(correction), "corrigendum").otherwise("act")
+    rows = hits.withColumns({"act": act, "kind": kind})
+    named = newest_hits(rows.where("kind = 'act'").select(F.col("act").alias("celex"), "ord", "language", "in_force", "title", "date")).drop("languages").withColumnRenamed("date", "publication_date")
+    bare = rows.where("kind <> 'act'").select(F.col("act").alias("celex")).distinct().join(named.select("celex"), "celex", "left_anti")
+    acts = named.unionByName(bare, allowMissingColumns=True)
+    dated = F.coalesce(F.to_date(F.regexp_extract("celex", r"-([0-9]{8})$", 1), "yyyyMMdd"), F.col("date"))
+    versions = rows.where("kind <> 'corrigendum'").select(F.col("act").alias("celex"), F.when(F.col("kind") == "version", dated).otherwise(F.col("date")).alias("date"), "language", "url", "ord")
+    corrections = rows.where("kind = 'corrigendum'").select(F.col("celex").alias("corrigendum"), F.col("act").alias("celex"), "date", "language", "url", "ord")
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ord"))).alias(c)
+    return {
+        "act": acts, "version": versions.select("celex", "date").distinct(), "representation": versions.groupBy("celex", "date", "language").agg(last("url")),
+        "corrigendum": corrections.groupBy("corrigendum", "celex").agg(last("date")), "correpresentation": corrections.groupBy("corrigendum", "language").agg(last("url")),
+    }
+
+
 def worklist(representation: DataFrame, acts: DataFrame, language: str, upload: bool, only_enforced: bool = False, day=None, wanted: list[str] | None = None) -> DataFrame:
     """Distinct (celex, date) to process.
 

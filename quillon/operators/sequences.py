@@ -2,53 +2,78 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quillon.functions.text import LABELS, LANGUAGES, NBSP
 
-#: Decorations stripped from labels, first items of the ordered patterns.
-_STRIP = {"nump": "(). " + NBSP, "numpt": ".", "numbr": "()", "alpha": "()", "roman": "()", "dash": ""}
-_FIRST = {"nump": "1", "numpt": "1", "numbr": "1", "alpha": "a", "roman": "i"}
+#: What is stripped from a label to get its value.
+_STRIP = "(). " + NBSP
+#: What a reading of a label costs: it goes on where its kind of list stopped, begins a list, or does neither; a kind
+#: further out in the hierarchy costs a trifle more.
+_GOES_ON, _BEGINS, _LEAPS, _OUTER = 0.0, 1.0, 6.0, 0.001
+#: Readings of the list so far that are kept, the cheapest first.
+_KEPT = 64
 
 
-def candidates(label: str, language: str) -> tuple[set[str], str | None]:
-    """Tags that a label may have, and what it says."""
-    tags, inner = set(), None
-    for tag, by_language in LABELS.items():
+def _letters(value: str) -> int:
+    n = 0
+    for c in value:
+        n = n * 26 + ord(c) - ord("a") + 1
+    return n
+
+
+def _roman(value: str) -> int:
+    digits = [{"i": 1, "v": 5, "x": 10, "l": 50}[c] for c in value]
+    return sum(-d if any(e > d for e in digits[k + 1 : k + 2]) else d for k, d in enumerate(digits))
+
+
+#: The number of a value within its kind of list; dashes have none.
+_NUMBER = {"nump": int, "numpt": int, "numbr": int, "alpha": _letters, "roman": _roman}
+
+
+def readings(label: str, language: str) -> dict[str, int | None]:
+    """Kinds of list that a label may belong to, in order of hierarchy, with its number there."""
+    out = {}
+    for kind, by_language in LABELS.items():
         if language in by_language and (m := re.match(by_language[language].replace("^", "", 1), label)):
-            tags.add(tag)
-            inner = inner or m.group(0).strip(_STRIP[tag] or None)
-    return tags, inner
+            out[kind] = _NUMBER[kind](m.group(0).strip(_STRIP)) if kind in _NUMBER else None
+    return out
 
 
 def resolve_labels(labels: list[str], language: str) -> list[str | None]:
-    """One tag for each label of a list, None for labels without any.
+    """One kind for each label of a list, None for labels without any.
 
-    Settled neighbours decide: a label takes the tag of the one after it, unless that begins a list, or
-    continues that before it, unless it begins one itself, in which case that tag is ruled out. What
-    stays open goes by the last tag in order of hierarchy. Passes repeat until all are settled.
+    Of all ways to read the labels the cheapest is taken: a label should be the next number of a list of
+    its kind that is open, or the first of a new one. A list within another ends when an outer one
+    goes on. Where two ways cost the same, the inner kind of the hierarchy is taken.
     """
     if language not in LANGUAGES:
         raise ValueError(f"unsupported language: {language}")
-    known = [candidates(x, language) for x in labels]
-    tags = [set(t) for t, _ in known]
-    says = [s for _, s in known]
-    while any(len(t) > 1 for t in tags):
-        open_ = {k for k, t in enumerate(tags) if len(t) > 1}
-        for k in sorted(open_):
-            after, before = k + 1, k - 1
-            if after < len(tags) and after not in open_ and tags[after] and tags[after] <= tags[k] and _FIRST.get(next(iter(tags[after]))) != says[after]:
-                tags[k] = set(tags[after])
-            elif before >= 0 and before not in open_ and tags[before] and tags[before] <= tags[k]:
-                one = next(iter(tags[before]))
-                tags[k] = {one} if _FIRST.get(one) != says[k] else tags[k] - {one}
-            else:
-                tags[k] = {[t for t in LABELS if t in tags[k]][-1]}
-    return [next(iter(t), None) for t in tags]
+    rank = {kind: k for k, kind in enumerate(LABELS)}
+    # by the open lists, outermost first, as (kind, last number): cost and kinds so far
+    ways: dict[tuple, tuple[float, tuple]] = {(): (0.0, ())}
+    for label in labels:
+        after: dict[tuple, tuple[float, tuple]] = {}
+        kinds = readings(label, language)
+        for lists, (cost, chosen) in ways.items():
+            if not kinds:
+                after[lists] = min(after.get(lists, (math.inf, ())), (cost, (*chosen, None)), key=lambda w: w[0])
+            for kind, number in kinds.items():
+                depth = next((d for d, (k, _) in enumerate(lists) if k == kind), None)
+                follows = depth is not None and (number is None or lists[depth][1] + 1 == number)
+                step = _GOES_ON if follows else _BEGINS if number in (None, 1) else _LEAPS
+                kept = lists if depth is None else lists[:depth]
+                way = cost + step + _OUTER * (len(rank) - rank[kind]), (*chosen, kind)
+                key = (*kept, (kind, number))
+                if key not in after or way[0] < after[key][0]:
+                    after[key] = way
+        ways = dict(sorted(after.items(), key=lambda x: x[1][0])[:_KEPT])
+    return list(min(ways.values(), key=lambda w: w[0])[1])
 
 
 def label_tags(items: DataFrame, language: str, key: str = "list_id", order: str = "pos", label: str = "label") -> DataFrame:
@@ -92,71 +117,49 @@ def heading(text: str, language: str) -> tuple[str, str, str | None] | None:
     return f"{axis}_{value}".replace(" ", "_"), " ".join(words[:shown]), " ".join(rest) or None
 
 
-#: Coordinates that are articles (leaves); all others hold others.
-_LEAVES = {"ART", "ANX", "PRE", "FIN"}
-
-
-def nest(ordinates: list[str]) -> list[dict]:
-    """Parents and ids of a flat list of headings, each AXIS or AXIS_value, in order.
-
-    Rows: (pos, parent, ordinate, type, id); the root is -1, a container made for several annexes has
-    the position len(ordinates). A heading joins its axis on the rightmost path, or ends it; annexes
-    gather in their container, and containers after the first annex belong to the last one.
-    """
-    n, made = len(ordinates), len(ordinates)
-    axis = [o.split("_")[0] for o in ordinates] + ["CNT"]
-    children: dict[int, list[int]] = {-1: []}
-    parent: dict[int, int] = {}
-    leaf = lambda k: k < n and axis[k] in _LEAVES
-
-    def place(k: int, start: int) -> int:
-        at = start
-        if at != -1 and axis[at] == axis[k]:
-            return parent[at]
-        while children.get(at):
-            at = children[at][-1]
-            if axis[at] == axis[k]:
-                return parent[at]
-        return parent[at] if at != -1 and leaf(at) and start == -1 else at
-
-    annexes: list[int] = []
-    for k in range(n):
-        if axis[k] == "ANX":
-            if not annexes:
-                parent[made] = -1
-                children[-1].append(made)
-            up = made
-            annexes.append(k)
-        elif annexes and not leaf(k):
-            up = place(k, annexes[-1])
-        else:
-            up = place(k, -1)
-        parent[k] = up
-        children.setdefault(up, []).append(k)
-    if len(annexes) == 1:
-        only, at = annexes[0], children[-1].index(made)
-        children[-1][at], parent[only] = only, -1
-        parent.pop(made)
-    out, ids = [], {-1: "toc"}
-
-    def walk(k: int, inside: bool) -> None:
-        for c in children.get(k, []):
-            kind = "container" if c == made else "article" if leaf(c) else "sub-container" if inside else "container"
-            name = "ANX" if c == made else ordinates[c]
-            ids[c] = name if kind == "article" else f"{ids[k]}-{name}"
-            out.append({"pos": c, "parent": k, "ordinate": name, "type": kind, "id": ids[c]})
-            walk(c, inside or kind == "article")
-
-    walk(-1, False)
-    return out
+#: Axes that are articles; all others hold others. Annexes are articles that gather in a container of their own.
+LEAVES, ANNEX = ("ART", "ANX", "PRE", "FIN"), "ANX"
 
 
 def toc(headings: DataFrame, doc: str = "doc_id", order: str = "pos", ordinate: str = "ordinate") -> DataFrame:
-    """nest() for each document; a document's headings fit a task."""
-    kind = dict(headings.dtypes)[doc]
+    """(doc, pos, parent, ordinate, type, id) of each document's headings, given in order as AXIS or AXIS_value.
 
-    def run(group: pa.Table) -> pa.Table:
-        rows = nest(group.sort_by(order)[ordinate].to_pylist())
-        return pa.table({doc: pa.array([group[doc][0].as_py()] * len(rows), group[doc].type), **{c: pa.array([r[c] for r in rows], pa.int32() if c in ("pos", "parent") else pa.string()) for c in ("pos", "parent", "ordinate", "type", "id")}})
-
-    return headings.select(doc, order, ordinate).groupBy(doc).applyInArrow(run, f"{doc} {kind}, pos int, parent int, ordinate string, type string, id string")
+    pos counts from 0; the root is -1, and the container of several annexes has the number of headings.
+    Headings are folded over the path of open ones: a heading closes the outermost open one of its axis, with
+    all within, and stands in its place; if there is none it goes into the innermost open one, or beside it if
+    that is an article. An annex closes all but the annexes' container, and a container after it goes into
+    the annex. A container's id is its parent's and its ordinate, an article's is its ordinate.
+    """
+    entry = "struct<axis:string,pos:int,id:string,leaf:boolean>"
+    row = "struct<pos:int,parent:int,ordinate:string,type:string,id:string>"
+    lists = headings.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), F.col(ordinate).alias("o")))).alias("h"))
+    n = F.size("h")
+    several = F.size(F.filter("h", lambda x: F.split_part(x["o"], F.lit("_"), F.lit(1)) == ANNEX)) > 1
+
+    def made(cast: str, *values):
+        return F.struct(*values).cast(cast)
+
+    def fold(state, x):
+        axis, path = F.split_part(x["o"], F.lit("_"), F.lit(1)), state["path"]
+        leaf, annex = axis.isin(*LEAVES), axis == ANNEX
+        container = made(entry, F.lit("CNT"), n, F.lit("toc-ANX"), F.lit(False))
+        base = F.when(several, F.array(container)).otherwise(F.array().cast(f"array<{entry}>"))
+        opened = F.exists(path, lambda e: e["axis"] == ANNEX)
+        within = F.when(opened & ~leaf, F.size(base)).otherwise(0)
+        same = F.array_position(F.transform(path, lambda e, i: (e["axis"] == axis) & (i >= within)), True)
+        beside = F.when(F.element_at(path, -1)["leaf"] & (within == 0) & ~(opened & ~leaf), 1).otherwise(0)
+        depth = F.when(same > 0, same - 1).when(F.size(path) == 0, 0).otherwise(F.size(path) - beside).cast("int")
+        above = F.when(annex, base).otherwise(F.slice(path, F.lit(1), depth))
+        parent = F.when(F.size(above) > 0, F.element_at(above, -1)["pos"]).otherwise(-1)
+        prefix = F.when(F.size(above) > 0, F.element_at(above, -1)["id"]).otherwise("toc")
+        name = F.when(leaf, x["o"]).otherwise(F.concat_ws("-", prefix, x["o"]))
+        kind = F.when(leaf, "article").when(F.exists(above, lambda e: e["leaf"]), "sub-container").otherwise("container")
+        rows = F.concat(
+            state["rows"], F.when(annex & several & ~opened & (F.size(F.filter(state["rows"], lambda r: r["id"] == "toc-ANX")) == 0), F.array(made(row, n, F.lit(-1), F.lit(ANNEX), F.lit("container"), F.lit("toc-ANX")))).otherwise(F.array().cast(f"array<{row}>")),
+            F.array(made(row, x["at"], parent, x["o"], kind, name)),
+        )
+        return F.struct(F.concat(above, F.array(made(entry, axis, x["at"], name, leaf))).alias("path"), rows.alias("rows"))
+
+    numbered = F.transform("h", lambda x, i: F.struct(x["o"].alias("o"), i.cast("int").alias("at")))
+    start = F.struct(F.array().cast(f"array<{entry}>").alias("path"), F.array().cast(f"array<{row}>").alias("rows"))
+    return lists.select(doc, F.inline(F.aggregate(numbered, start, fold)["rows"]))

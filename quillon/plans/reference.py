@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillon.functions import ids, text
-from quillon.operators import documents as D, metadata as M, registry as R, sequences as S, triples as T
+from quillon.operators import documents as D, lookups as L, metadata as M, registry as R, sequences as S, triples as T
 from quillon.plans.views import sql_of, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,9 +232,9 @@ def _(t):
     return T.celexes_of(t, 1996, "L")
 
 
-@query("statuses", "SELECT w.o AS celex, f.o AS value FROM {triples} w LEFT JOIN {triples} f ON f.s = w.s AND f.p = 'cdm:resource_legal_in-force' WHERE w.p = 'cdm:resource_legal_id_celex' AND regexp_matches(w.o, '^31994R[0-9]{4}$') ORDER BY 1, 2 NULLS FIRST LIMIT 5000", t="triples")
+@query("statuses", "SELECT w.o AS celex, f.o AS value FROM {triples} w LEFT JOIN {triples} f ON f.s = w.s AND f.p = 'cdm:resource_legal_in-force' WHERE w.p = 'cdm:resource_legal_id_celex' AND regexp_matches(w.o, '^31996R[0-9]{4}$') ORDER BY 1, 2 NULLS FIRST LIMIT 5000", t="triples")
 def _(t):
-    return T.statuses(t, 1994, "R")
+    return T.statuses(t, 1996, "R")
 
 
 @query("changes_of_year", "SELECT DISTINCT a.o AS s_celex, b.o AS o_celex FROM {triples} c JOIN {triples} y ON y.s = c.s AND y.p = 'cdm:resource_legal_year' AND y.o = '1997' JOIN {triples} a ON a.s = c.s AND a.p = 'cdm:resource_legal_id_celex' JOIN {triples} b ON b.s = c.o AND b.p = 'cdm:resource_legal_id_celex' WHERE c.p = 'cdm:resource_legal_amends_resource_legal' AND regexp_matches(b.o, '^3[0-9]{4}[RLDF][0-9]{4}$')", t="triples")
@@ -464,6 +464,63 @@ def _(a):
     return M.rdfa(a.withColumn("source", F.expr("'/eu/' || celex || '/'")), "celex", "eli", ["publication_date", "in_force", "source"])
 
 
+# lookups
+
+
+@query("language_codes", "SELECT lang AS language, count(*) AS n, CASE lang WHEN 'en' THEN 'ENG' WHEN 'de' THEN 'DEU' WHEN 'es' THEN 'SPA' WHEN 'fr' THEN 'FRA' END AS three FROM documents d GROUP BY lang")
+def _(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("language")).agg(F.count("*").alias("n")).withColumn("three", L.language_of_three(F.col("language")))
+
+
+@query("representation_state", "SELECT r.celex, r.language, r.date, a.in_force, r.transformation LIKE 'success%' AS loaded, '0' || substr(r.celex, 2) || '-' || replace(cast(r.date AS string), '-', '') AS compound_celex FROM {representation} r LEFT JOIN {acts} a ON a.celex = r.celex", r="representation", a="acts")
+def _(r, a):
+    return L.accessors(r, a)
+
+
+@query("guessed_urls", "SELECT celex, language, date, coalesce(nullif(url_html, ''), 'https://eur-lex.europa.eu/legal-content/' || language || '/TXT/HTML/?uri=CELEX:0' || substr(celex, 2) || '-' || replace(cast(date AS string), '-', '')) AS url FROM {representation} r", r="representation")
+def _(r):
+    return r.select("celex", "language", "date", F.coalesce(F.nullif("url_html", F.lit("")), L.guessed_url(F.col("celex"), F.col("date"), F.col("language"), "HTML")).alias("url"))
+
+
+@query("previous_preamble", "SELECT celex, language, date, transformation LIKE 'success%' AS recitals, min(CASE WHEN transformation LIKE 'success%' THEN date END) OVER (PARTITION BY celex, language ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS preamble_date FROM {representation} r", r="representation")
+def _(r):
+    return L.previous_preamble(r.select("celex", "language", "date", F.col("transformation").startswith("success").alias("recitals")))
+
+
+@query("consolidation_hits_of_types", "SELECT o AS celex FROM {triples} t WHERE p = 'cdm:resource_legal_id_celex' AND o LIKE '0%' AND substr(o, 6, 1) IN ('R', 'D')", t="triples")
+def _(t):
+    return L.of_types(t.where("p = 'cdm:resource_legal_id_celex' AND o LIKE '0%'").select(F.col("o").alias("celex")), ["R", "D"])
+
+
+@query("hosted_paths", "SELECT DISTINCT '3' || substr(celex, 4) AS written, '/eu/3' || CASE WHEN substr(celex, 4, 2) < '45' THEN '20' ELSE '19' END || substr(celex, 4) || '/' AS path FROM {ids} i", i="ids")
+def _(i):
+    written = F.concat(F.lit("3"), F.substring("celex", 4, 99))
+    return i.select(written.alias("written"), L.hosted_path(written).alias("path")).distinct()
+
+
+@query("newest_hits", "SELECT celex, max_by(seen, ord) AS seen, list_sort(list(DISTINCT language))[1] AS first_language, len(list(DISTINCT language)) AS n_languages FROM {hits} h GROUP BY celex", h="hits")
+def _(h):
+    return R.newest_hits(h).select("celex", "seen", F.col("languages")[0].alias("first_language"), F.size("languages").cast("long").alias("n_languages"))
+
+
+@query("merge_pages", "SELECT celex, max_by(language, ord) AS language, max(ord) AS ord, (SELECT count(DISTINCT celex) FROM {hits} g) AS total, cast(ceil((SELECT count(*) FROM {hits} k) / 100.0) AS bigint) AS pages FROM {hits} h GROUP BY celex", h="hits")
+def _(h):
+    n = h.agg(L.pages(F.count("*"), 100).alias("pages"))
+    return L.merge_pages(h.select("celex", "language", "ord"), "celex", "ord").crossJoin(F.broadcast(n))
+
+
+@query("popular_titles", "SELECT celex AS id_local, 'EN' AS language, CASE WHEN k % 4 = 0 THEN 'Popular ' || celex ELSE priority END AS pop_title, CASE WHEN k % 8 = 0 THEN 'P' || cast(k AS string) WHEN k % 4 = 0 THEN NULL ELSE 'old' END AS pop_acronym, k FROM {ids} i", i="ids")
+def _(i):
+    titles = i.where("k % 4 = 0").select(F.concat_ws("-", "celex", "k").alias("id_local"), F.lit("EN").alias("language"), F.concat(F.lit("Popular "), "celex").alias("pop_title"), F.expr("CASE WHEN k % 8 = 0 THEN 'P' || k END").alias("pop_acronym"))
+    records = i.select(F.concat_ws("-", "celex", "k").alias("id_local"), F.lit("EN").alias("language"), F.col("priority").alias("pop_title"), F.lit("old").alias("pop_acronym"), "k")
+    return L.popular_titles(records, titles).withColumn("id_local", F.split_part("id_local", F.lit("-"), F.lit(1)))
+
+
+@query("text_of_markup", "SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '[\\s]+', ' ', 'g')) AS body FROM pages p")
+def _(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", L.textify(F.col("html")).alias("body"))
+
+
 # sequences
 
 

@@ -18,6 +18,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 PREFIXES = {
     "cdm": "http://publications.europa.eu/ontology/cdm#", "eli": "http://data.europa.eu/eli/ontology#", "owl": "http://www.w3.org/2002/07/owl#", "xsd": "http://www.w3.org/2001/XMLSchema#",
     "skos": "http://www.w3.org/2004/02/skos/core#", "rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "rdfs": "http://www.w3.org/2000/01/rdf-schema#", "dc": "http://purl.org/dc/elements/1.1/",
+    "corp": "http://publications.europa.eu/resource/authority/corporate-body/", "res-type": "http://publications.europa.eu/resource/authority/resource-type/", "res-oj": "http://publications.europa.eu/resource/oj/",
+    "res-celex": "http://publications.europa.eu/resource/celex/", "lang": "http://publications.europa.eu/resource/authority/language/", "ev": "http://eurovoc.europa.eu/",
+    "m-app": "http://www.iana.org/assignments/media-types/application/", "euvoc": "http://publications.europa.eu/ontology/euvoc#",
 }
 _TRIPLE = r'^\s*(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+(?:<([^>]*)>|(_:\S+)|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z-]+)|\^\^<([^>]*)>)?)\s*\.\s*$'
 

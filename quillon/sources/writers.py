@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from quillon.functions.ids import celex_base
 
@@ -20,15 +22,20 @@ def write_heads(records: DataFrame, path: str) -> None:
     records.select(F.to_json(F.struct(*records.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
-def send(rows: DataFrame, connect: Callable[[], Callable[[Row], bool]]) -> None:
-    """Call a service for each row, with one connection for each partition. The caller injects address and credentials."""
+def send(rows: DataFrame, connect: Callable[[], Callable[[dict], bool]]) -> DataFrame:
+    """rows with `sent`: whether a service took each. One connection a partition; the caller injects address and credentials.
 
-    def partition(it) -> None:
-        call = connect()
-        for r in it:
-            call(r)
+    Calls are made when the result is written, so write it once, and send again what isn't in it or wasn't
+    sent. A task that is tried again repeats its calls: the service must take a row twice.
+    """
 
-    rows.foreachPartition(partition)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call = None
+        for b in batches:
+            call = call or connect()
+            yield b.append_column("sent", pa.array([bool(call(r)) for r in b.to_pylist()], pa.bool_()))
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("sent", BooleanType())]))
 
 
 def with_stubs(docs: DataFrame, stub: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from quillon.operators.registry import merge_hits, upsert
+from quillon.operators.registry import newest_hits, upsert
 
 
 def refresh(spark: SparkSession, incoming: str, schema: str, registry: str, checkpoint: str) -> StreamingQuery:
@@ -17,7 +17,7 @@ def refresh(spark: SparkSession, incoming: str, schema: str, registry: str, chec
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        new = merge_hits(batch).select("celex", "in_force", "publication_date")
+        new = newest_hits(batch).select("celex", "in_force", "publication_date")
         if number > 0:
             new = upsert(spark.read.parquet(f"{registry}/{number - 1}"), new, ["celex"], ["in_force", "publication_date"])
         new.write.mode("overwrite").parquet(f"{registry}/{number}")
