@@ -131,10 +131,10 @@ def _column(b: pa.RecordBatch, name: str, kind: str) -> np.ndarray:
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) whose registers and sizes allow the similarity. Each side is joined by a plain shuffle."""
+    """Pairs (a, b) whose registers and sizes allow the similarity. Each side is joined by a plain shuffle. Materialised."""
     side = lambda n: classes.select(F.col("rep").alias(n), F.col("n_shingles").alias(f"n_{n}"), F.col("regs").alias(f"r_{n}"))
-    both = materialise(pairs.join(side("a"), "a")).join(side("b"), "b")
-    both = both.where(F.least("n_a", "n_b") * SIMILARITY[1] >= F.greatest("n_a", "n_b") * SIMILARITY[0])
+    one = materialise(pairs.join(side("a"), "a"))
+    both = one.join(side("b"), "b").where(F.least("n_a", "n_b") * SIMILARITY[1] >= F.greatest("n_a", "n_b") * SIMILARITY[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -142,14 +142,13 @@ def estimated(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
                 score = estimate(_column(b, "r_a", "<u2"), _column(b, "r_b", "<u2"), b.column("n_a").to_numpy(), b.column("n_b").to_numpy())
                 yield b.filter(pa.array(score >= least)).select(["a", "b"])
 
-    return both.mapInArrow(run, pairs.select("a", "b").schema)
+    return materialise(both.mapInArrow(run, pairs.select("a", "b").schema), one)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Pairs (a, b) whose full shingle sets are similar: 100 * intersection >= 80 * union."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b"))).distinct()
-    ids = small(materialise(ids))
-    need = materialise(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(ids, "id", "left_semi").dropDuplicates(["id"]))
+    """Pairs (a, b) whose full shingle sets are similar: 100 * intersection >= 80 * union. Materialised."""
+    ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b"))).distinct())
+    need = materialise(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(small(ids), "id", "left_semi").dropDuplicates(["id"]))
     one = materialise(pairs.join(need.select(F.col("id").alias("b"), F.col("t").alias("t_b")), "b"))
     both = one.join(need.select(F.col("id").alias("a"), F.col("t").alias("t_a")), "a").select("a", "b", "t_a", "t_b")
 
@@ -165,7 +164,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, text: str =
                 keep.append(common * SIMILARITY[1] >= (len(held) + len(other) - common) * SIMILARITY[0])
             yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return both.mapInArrow(tidied(run), pairs.select("a", "b").schema)
+    return materialise(both.mapInArrow(tidied(run), pairs.select("a", "b").schema), ids, need, one)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
@@ -203,7 +202,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     members = materialise(banded().join(heads.select("band", "head"), "band"))
     stars = materialise(members.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct())
     least = SIMILARITY[0] / SIMILARITY[1] - SLACK
-    links = materialise(verified(materialise(estimated(stars, classes, least)), docs, size, text, doc_id))
+    links = verified(estimated(stars, classes, least), docs, size, text, doc_id)
     parts = materialise(components(links))
 
     # buckets in which several components are left
@@ -280,9 +279,9 @@ def _across(left: DataFrame, docs: DataFrame, kind: str, least: float, size: int
         return pa.table({"a": pa.array(a, t["rep"].type), "b": pa.array(b, t["rep"].type)})
 
     some = materialise(dealt.groupBy("band", "i", "j").applyInArrow(involved, dealt.schema))
-    ids = small(materialise(some.select("rep").distinct()))
-    bodies = materialise(docs.select(F.col(doc_id).alias("rep"), F.col(text).alias("text")).join(ids, "rep", "left_semi").dropDuplicates(["rep"]))
-    return some.join(bodies, "rep").groupBy("band", "i", "j").applyInArrow(forest, f"a {kind}, b {kind}").distinct()
+    ids = materialise(some.select("rep").distinct())
+    bodies = materialise(docs.select(F.col(doc_id).alias("rep"), F.col(text).alias("text")).join(small(ids), "rep", "left_semi").dropDuplicates(["rep"]))
+    return materialise(some.join(bodies, "rep").groupBy("band", "i", "j").applyInArrow(forest, f"a {kind}, b {kind}").distinct(), some, ids, bodies)
 
 
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quillon.llm import bpe, fingerprints, language_id, line_dedup, lm, mixing, near_dup, passages, sharding, vector_dedup
 from quillon.llm.common import components
 
@@ -473,3 +474,47 @@ def test_bpe(spark, table, chunk_words):
     assert bpe.encode(both, path, chunk_words=chunk_words).count() == len(source)
     for r in bpe.decode(bpe.encode(both, path, chunk_words=chunk_words), path).collect():
         assert bytes(r.decoded).decode() == source[r.doc_id]
+
+
+def test_pipeline_stages(spark):
+    """Each stage against a plain version of it, on nulls, empty texts, repeats and an empty table."""
+    rng = random.Random(12)
+    words = {"en": "the of and that with this which would people thing".split(), "de": "der und nicht eine sich werden über haben schön straße".split()}
+    rows = [(i, " ".join(rng.choices(words[k], k=40)) + "\nShared line here\n" + f"tail {i}", k, f"s{i % 2}") for i in range(60) for k in (("en", "de")[i % 2],)]
+    rows += [(100, rows[0][1] + " x", "en", "s0"), (101, rows[0][1], "en", "s1"), (102, None, "en", "s0"), (103, "", None, None), (104, "12 34", "de", "s1")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["language_id"](spark, d, "")
+    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} >= set(range(60)) and not {r.doc_id for r in kept.collect()} & {102, 103, 104}
+    cut = {r.doc_id: r for r in stages["line_dedup"](spark, d, "").collect()}
+    plain = {i: "\n".join(x for x in (t or "").split("\n") if x != "Shared line here") for i, t, *_ in rows}
+    assert {i: r.text for i, r in cut.items()} == plain and all(r.n_chars == len(r.text) for r in cut.values())
+    sets = {i: shingles(t or "", 5) for i, t, *_ in rows}
+    want = jaccard_components(sets)
+    assert {r.doc_id for r in stages["near_dup"](spark, d, "").collect()} == {i for i in want if want[i] == i}
+    mixed = Counter(r.doc_id for r in stages["mix_sources"](spark, d, "").collect())
+    assert set(mixed.values()) <= {1, 2} and sum(len((t or "").split()) * mixed[i] for i, t, *_ in rows) == pytest.approx(1.5 * sum(len((t or "").split()) for _, t, *_ in rows), abs=90)
+    coder = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(public_tokenizers.path(bpe.RANKS)), special_tokens={})
+    assert all(r.n_tokens == len(coder.encode_ordinary(dict((i, t) for i, t, *_ in rows)[r.doc_id] or "")) for r in stages["byte_bpe"](spark, d, "").collect())
+    empty = d.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, "")
+        assert out.count() == 0 and (name == "byte_bpe" or out.columns == d.columns)
+
+
+def test_op8_columns(spark, tmp_path):
+    rows = [(3, "abcdefghij"), (1, None), (7, "É b  C"), (5, "xy"), (9, "é B c")]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in fingerprints.op8_fingerprints(spark, str(tmp_path)).collect()}
+    ordered = sorted((i, t or "") for i, t in rows)
+    for (i, t), (j, following) in zip(ordered, ordered[1:] + ordered[:1]):
+        cut = len(t) // 4
+        edited = t[: len(t) - cut] + following[:cut]
+        assert got[i].n_chars == len(t) and got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert (got[i].near_next == 1) == (got[i].fingerprint == got[j].fingerprint) and (got[i].near_edited == 1) == (got[i].fingerprint == got[i].edited_fingerprint)
+    assert got[7].fingerprint == got[9].fingerprint != got[3].fingerprint and got[7].near_next == 1 and got[3].near_next == 0
+
+
+def test_near_duplicates_with_clashing_names(spark):
+    d = docs(spark, [(1, "a b c d e f"), (2, "a b c d e f"), (3, "other words in this text")]).withColumnsRenamed({"source": "rep", "lang": "id"})
+    assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(d).collect()} == {1: 1, 2: 1, 3: 3}
