@@ -11,11 +11,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillon.llm import bpe, language_id, line_dedup, mixing, near_dup
-from quillon.llm.common import documents, materialise
+from quillon.llm.common import documents, materialise, small
 
 #: The result can't be expressed in SQL: compression, sketches and random rounding decide. It is tested against plain versions.
 ORACLE_SQL = None
 
+#: Ids that are broadcast at most, about 40 MB; beyond it the documents to keep are found by a shuffle.
+KEPT_IDS = 2_000_000
 #: Words of a chunk that is encoded at a time: less than op10's, as workers have done other stages before.
 WORDS_AT_ONCE = 1_500_000
 
@@ -36,6 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each component of similar documents (five-word shingles, 0.8) the one with the smallest id stays."""
     groups = near_dup.near_duplicates(docs.select("doc_id", "text"), size=5)
     kept = materialise(groups.where("kept").select("doc_id").distinct(), groups)
+    kept = small(kept, KEPT_IDS)
     return docs.join(kept.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(*docs.columns)
 
 
