@@ -99,7 +99,7 @@ def collisions(rows: DataFrame, text: str = "text") -> DataFrame | None:
     rows are as of hashed. Only buckets of several rows are looked at. The smallest and the largest
     canonical text of a bucket, taken with partial aggregation whatever the bucket's size, are equal if and only if all are.
     """
-    several = materialise(rows.groupBy("__h1", "__h2").agg(F.min(text).alias("__lo"), F.max(text).alias("__hi")).where("__lo <> __hi").select("__h1", "__h2"))
+    several = materialise(rows.groupBy("__h1", "__h2").agg(F.count("*").alias("__n")).where("__n > 1").select("__h1", "__h2"))
     each = rows.join(small(several), ["__h1", "__h2"]).select("__h1", "__h2", canonical(F.col(text)).alias("__c"))
     mixed = materialise(each.groupBy("__h1", "__h2").agg(F.min("__c").alias("__lo"), F.max("__c").alias("__hi")).where("__lo <> __hi").select("__h1", "__h2"))
     if mixed.isEmpty():
