@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillon.functions import ids, text
-from quillon.operators import documents as D, lookups as L, metadata as M, registry as R, sequences as S, triples as T
+from quillon.functions import ids, text, titles
+from quillon.operators import documents as D, formulas as X, lookups as L, metadata as M, registry as R, sequences as S, triples as T
 from quillon.plans.views import sql_of, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -521,6 +521,51 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", L.textify(F.col("html")).alias("body"))
 
 
+# titles and formulas
+
+
+_KIND = "CASE substr({0}, 6, 1) WHEN 'R' THEN 'Regulation' WHEN 'L' THEN 'Directive' WHEN 'D' THEN 'Decision' ELSE 'Framework Decision' END"
+_NUMBER = "CASE WHEN substr({0}, 6, 1) = 'R' THEN '(EU) No ' || cast(cast(substr({0}, 7) AS int) AS string) || '/' || substr({0}, 2, 4) ELSE substr({0}, 2, 4) || '/' || cast(cast(substr({0}, 7) AS int) AS string) || '/EC' END"
+_NAME = _KIND + " || ' ' || " + _NUMBER
+_CHANGES = "SELECT changer, min(CASE WHEN change = 'amends' THEN changee END) AS a, max(CASE WHEN change = 'completes' THEN changee END) AS b, min(CASE WHEN change = 'repeals' THEN changee END) AS r FROM {changes} c GROUP BY changer"
+_TITLES = f"""SELECT changer AS celex, {_NAME.format("changer")} AS name, a, b, r, {_NAME.format("changer")} || ' of the Council of 26 June ' || substr(changer, 2, 4) || ' on the matter ' || substr(changer, 7)
+    || coalesce(', amending ' || {_NAME.format("a")} || coalesce(' and ' || {_NAME.format("b")}, ''), '') || coalesce(' and repealing Annex II to ' || {_NAME.format("r")}, '') AS title FROM ({_CHANGES}) x"""
+
+
+@query(
+    "title_parse",
+    f"""SELECT celex, title, make_date(cast(substr(celex, 2, 4) AS int), 6, 26) AS date_document, 'On the matter ' || substr(celex, 7) AS title_essence,
+    upper(substr(name, 1, 1)) || CASE WHEN substr(celex, 6, 1) = 'F' THEN 'ramework Decision' || substr(name, 19) ELSE substr(name, 2) END AS id_human,
+    CASE WHEN a IS NULL THEN '' ELSE concat_ws(',', a, b) END AS amends, coalesce(r, '') AS repeals FROM ({_TITLES}) t""",
+    c="changes",
+)
+def _(c):
+    t = c.sparkSession.sql(_TITLES, changes=c)
+    p = titles.parse(F.col("title"), "EN")
+    out = t.select("celex", "title", p.alias("p"))
+    return out.select("celex", "title", "p.date_document", "p.title_essence", "p.id_human", F.array_join("p.amends", ",").alias("amends"), F.array_join("p.repeals", ",").alias("repeals"))
+
+
+@query("title_marked", f"""SELECT celex, replace(title, 'on the matter ' || substr(celex, 7) || CASE WHEN a IS NULL THEN '' ELSE ',' END, '<p class="lxp-title_essence">On the matter ' || substr(celex, 7) || CASE WHEN a IS NULL THEN '</p>' ELSE ',</p>' END) AS title FROM ({_TITLES}) t""", c="changes")
+def _(c):
+    t = c.sparkSession.sql(_TITLES, changes=c)
+    return t.select("celex", titles.title_data(F.col("title"), F.lit(None).cast("string"), F.col("celex"), "EN")["title"].alias("title"))
+
+
+_FORMULA = """SELECT k, CASE WHEN k % 16 = 0 THEN '<FORMULA><EXPR>' || celex || '</EXPR><OVER/></FORMULA>' WHEN k % 16 = 1 THEN NULL ELSE '<FORMULA.S><HT TYPE="ITALIC">RW</HT> = <EXPR>' || cast(custkey AS string)
+    || '</EXPR><OVER/><EXPR>' || substr(celex, 6, 1) || '<IND LOC="SUB">' || cast(k AS string) || '</IND></EXPR></FORMULA.S>' END AS markup, celex, custkey FROM {ids} i"""
+
+
+@query(
+    "formula_latex",
+    r"""SELECT k, latex, CASE WHEN latex IS NOT NULL THEN '<div class="lxp-math">$$' || latex || '$$</div>' END AS html, CASE k % 16 WHEN 0 THEN 'malformed' WHEN 1 THEN 'empty' ELSE 'ok' END AS status
+    FROM (SELECT k, CASE WHEN k % 16 > 1 THEN '\mathrm{RW} = \frac{' || cast(custkey AS string) || '}{' || substr(celex, 6, 1) || ' _{' || cast(k AS string) || '}}' END AS latex FROM {ids} i) f""",
+    i="ids",
+)
+def _(i):
+    return X.render(i.sparkSession.sql(_FORMULA, ids=i), "k", "markup")
+
+
 # sequences
 
 
