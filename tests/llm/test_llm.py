@@ -430,6 +430,41 @@ def test_passages_behind_other_holders(spark):
     assert set(got) == {(11, 10), (12, 10)} and all((r.start_word, r.end_word, r.ref_start_word, r.similarity) == (30, 90, 30, 1.0) for r in got.values())
 
 
+def test_passages_changed_behind_other_holders(spark):
+    """Passages of two later documents whose seeds all have an earlier first holder without the passage, and a common line."""
+    passage = [f"p{j}" for j in range(64)]
+    changed = [f"c{j}" if j % 13 == 6 else w for j, w in enumerate(passage)]
+    filled = lambda i, words: (i, " ".join([f"a{i}x{j}" for j in range(60)] + words + [f"b{i}x{j}" for j in range(60)]))
+    rows = [filled(i, passage[8 * i : 8 * i + 20]) for i in range(7)] + [filled(10, passage), filled(12, changed)]
+    rows += [filled(20 + i, [f"l{j}" for j in range(16)]) for i in range(600)]  # more than a block of holders
+    got = [(r.doc_id, r.ref_doc_id, r.start_word, r.end_word, r.ref_start_word, r.ref_end_word, r.matched) for r in passages.repeated_passages(docs(spark, rows)).collect()]
+    assert got == [(12, 10, 60, 124, 60, 124, 59)]
+
+
+def test_words_around_against_plain_subsequences():
+    rng = np.random.default_rng(5)
+    reach, look = passages.LOOK + passages.MORE, passages.LOOK
+    sigs = rng.integers(0, 6, (40, 2 * reach)).astype(np.uint8)
+    sigs[20:] = np.where(rng.random((20, 2 * reach)) < rng.uniform(0.5, 1, (20, 1)), sigs[:20], rng.integers(6, 99, (20, 2 * reach)))
+
+    def common(x, y):
+        row = [0] * (len(y) + 1)
+        out = [0]
+        for w in x:
+            before, row = row, [0]
+            for j, v in enumerate(y):
+                row.append(max(row[-1], before[j + 1], before[j] + (w == v and w > 0)))
+            out.append(row[-1])
+        return out
+
+    p, q = np.arange(20, 40), np.arange(20)
+    got, want = passages.around_alike(sigs, p, q, 50, 0.8), []
+    for x, y in zip(sigs[p].tolist(), sigs[q].tolist()):
+        ahead, behind = common(x[reach : reach + look], y[reach:]), common(x[reach - look : reach][::-1], y[:reach][::-1])
+        want.append(any(100 * (ahead[a] + behind[b]) >= 70 * (a + b) for a in range(look + 1) for b in range(look + 1) if a + b >= 50))
+    assert got.tolist() == want and 0 < sum(want) < 20
+
+
 @pytest.mark.parametrize("period", [1, 12, 30])
 def test_passages_with_a_period(spark, period):
     run = [f"p{j}" for j in range(period)] * (60 // period)
