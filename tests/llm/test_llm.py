@@ -465,6 +465,35 @@ def test_words_around_against_plain_subsequences():
     assert got.tolist() == want and 0 < sum(want) < 20
 
 
+@pytest.mark.parametrize("rows", [20, 90])
+def test_bound_on_words_around(rows):
+    """A bound on pairs of many rows leaves out none that is alike, whether one block or two are compared."""
+    rng = np.random.default_rng(6)
+    sigs = rng.integers(0, 9, (rows, 2 * (passages.LOOK + passages.MORE))).astype(np.uint8)
+    sigs[1:] = np.where(rng.random((rows - 1, 1)) < 0.5, np.where(rng.random((rows - 1, 1)) < 0.3, sigs[:-1], sigs[:1]), sigs[1:])
+    sigs = np.where(rng.random(sigs.shape) < rng.uniform(0, 0.6, (rows, 1)), rng.integers(9, 250, sigs.shape), sigs).astype(np.uint8)
+    for sides in (None, rng.integers(3, 5, rows), np.full(rows, 3)):
+        p, q = np.tril_indices(rows, -1)
+        ok = passages.around_alike(sigs, p, q, 50, 0.8) & (True if sides is None else sides[p] != sides[q])
+        got = [pair for a, b in passages._candidates(sigs, sides, 50, 0.8) for pair in zip(a.tolist(), b.tolist())]
+        assert len(got) == len(set(got)) and {*zip(p[ok].tolist(), q[ok].tolist())} <= set(got) and all(sides is None or sides[a] != sides[b] for a, b in got)
+        assert ok.any() or sides is not None and len(set(sides)) == 1
+
+
+def test_short_common_runs_make_no_pairs(spark):
+    """Places that share a line of 45 words and nothing else are no pairs, though 0.7 of the words around are alike; a passage
+    that goes on behind a gap is one, and of copies only the first is named."""
+    line = [f"l{j}" for j in range(45)]
+    filled = lambda i, words: (i, " ".join([f"a{i}x{j}" for j in range(60)] + words + [f"b{i}x{j}" for j in range(60)]))
+    rows = [filled(i, line) for i in range(100)] + [filled(200 + i, line + [f"g{i}x{j}" for j in range(14)] + [f"m{j}" for j in range(60)]) for i in range(2)]
+    rows += [filled(300 + i, line + [f"n{j}" for j in range(9)]) for i in range(80)]
+    d = docs(spark, rows).select("doc_id", "text")
+    tied = passages.materialise(d.select(F.lit(7).cast("long").alias("seed"), "doc_id", F.lit(80).alias("pos"), F.col("doc_id").alias("ref"), F.lit(80).alias("at")))
+    got = {(r.doc_id, r.ref): [tuple(m) for m in r.matches] for r in passages._paired(tied, d, 50, 0.8, "bigint").collect()}
+    wanted = {(201, 200): [(80, 80)]} | {(300 + i, 300): [(80, 80)] for i in range(1, 80)}
+    assert wanted.items() <= got.items() and len(got) - len(wanted) < 0.1 * 102 * (101 + 2 * 80) / 2  # words of like hashes leave some
+
+
 @pytest.mark.parametrize("period", [1, 12, 30])
 def test_passages_with_a_period(spark, period):
     run = [f"p{j}" for j in range(period)] * (60 // period)
