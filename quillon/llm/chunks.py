@@ -20,10 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from quillon.llm.common import materialise, tidied
+from quillon.llm.common import materialise, short_batches, tidied
 
 #: Words and bytes of text that a chunk holds, at most (but for one longer document).
 CHUNK_WORDS, CHUNK_BYTES = 500_000, 32 << 20
+#: Documents that a worker is handed at once.
+BATCH_ROWS = 1_000
 #: Bits of a key. Two keys of n are taken for one with a chance of n * n / 2 ** 57.
 KEY_BITS = 56
 #: Words of all chunks by bucket, about.
@@ -122,8 +124,8 @@ def chunked(docs: DataFrame, splitter: Callable[[], Callable[[str], list]], keep
             flat = np.concatenate(tokens)
             group = 63 - np.frexp(np.bincount(flat, minlength=len(words)))[1]  # by powers of two of their counts
             order = np.lexsort((word_keys(words), group))
-            rank = np.empty(len(words), np.int64)
-            rank[order] = np.arange(len(words))
+            rank = np.empty(len(words), np.uint32)
+            rank[order] = np.arange(len(words), dtype=np.uint32)
             listed = pack_words([words[i] for i in order.tolist()], np.unique(group, return_counts=True)[1])
             cols = [number], [held], [listed], [pack_places(rank[flat])], [pack(lengths)], [squeezed(sink.getvalue().to_pybytes())]
             places, tokens, rows, held, size, number = _Places(), [], [], 0, 0, number + 1
@@ -145,7 +147,8 @@ def chunked(docs: DataFrame, splitter: Callable[[], Callable[[str], list]], keep
         if rows:
             yield chunk()
 
-    return materialise(docs.select(F.col(text).alias("__text"), *[F.col(c) for c in keep]).mapInArrow(tidied(run), CHUNK))
+    with short_batches(docs.sparkSession, BATCH_ROWS):
+        return materialise(docs.select(F.col(text).alias("__text"), *[F.col(c) for c in keep]).mapInArrow(tidied(run), CHUNK))
 
 
 def kept_rows(b: bytes) -> pa.Table:

@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillon.llm import bpe, fingerprints, language_id, line_dedup, lm, mixing, near_dup, passages, sharding, vector_dedup
+from quillon.llm import bpe, chunks, fingerprints, language_id, line_dedup, lm, mixing, near_dup, passages, sharding, vector_dedup
 from quillon.llm.common import components
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -540,6 +540,21 @@ def test_bpe(spark, table, chunk_words):
         assert bytes(r.decoded).decode() == source[r.doc_id]
 
 
+def test_chunks_take_short_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    d = docs(spark, [(i, f"w{i % 7} of text") for i in range(2 * chunks.BATCH_ROWS + 300)]).coalesce(1)
+    table = chunks.chunked(d, lambda: str.split, ["doc_id"])
+    held = [len(c) for r in table.collect() for c in chunks.kept_rows(bytes(r.rows)).column("doc_id").chunks]
+    assert sum(held) == d.count() and max(held) <= chunks.BATCH_ROWS and spark.conf.get(name, None) == before
+    spark.conf.set(name, "50")
+    try:
+        small = chunks.chunked(d, lambda: str.split, ["doc_id"]).first()
+        assert max(len(c) for c in chunks.kept_rows(bytes(small.rows)).column("doc_id").chunks) <= 50 and spark.conf.get(name) == "50"
+    finally:
+        spark.conf.unset(name)
+
+
 def test_pipeline_stages(spark):
     """Each stage against a plain version of it, on nulls, empty texts, repeats and an empty table."""
     rng = random.Random(12)
