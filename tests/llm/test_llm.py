@@ -494,6 +494,66 @@ def test_short_common_runs_make_no_pairs(spark):
     assert wanted.items() <= got.items() and len(got) - len(wanted) < 0.1 * 102 * (101 + 2 * 80) / 2  # words of like hashes leave some
 
 
+def test_runs_of_one_word_make_few_pairs(spark):
+    """Runs of one word, of which each has other words around it, make a pair or two each, however many they are; each
+    is a passage of an earlier document as far as any has it."""
+    filled = lambda i, n: (i, " ".join([f"a{i}x{j}" for j in range(70)] + ["the"] * n + [f"b{i}x{j}" for j in range(70)]))
+    lengths = {10 + i: 50 + i * 7 % 41 for i in range(120)}
+    rows = [filled(0, 9)] + [filled(i, n) for i, n in lengths.items()] + [filled(200 + i, 30 + i % 20) for i in range(120)]
+    seed = [(7, i, p, i, 70) for i, n in lengths.items() for p in (70, 65 + n)] + [(7, 200 + i, p, 200 + i, 70) for i in range(120) for p in (70, 95 + i % 20)]
+    d = docs(spark, rows).select("doc_id", "text")
+    tied = passages.materialise(spark.createDataFrame(seed, "seed long, doc_id long, pos int, ref long, at int"))
+    got = [(r.doc_id, r.ref) for r in passages._paired(tied, d, 50, 0.8, "bigint").collect()]
+    assert len(got) <= 3 * 120 and {i for i, _ in got} >= set(lengths) - {10}
+    found = {}
+    for r in passages.repeated_passages(d).collect():
+        assert r.doc_id > r.ref_doc_id and r.doc_id in lengths and r.ref_doc_id in lengths
+        found[r.doc_id] = max(found.get(r.doc_id, 0), r.end_word - r.start_word)
+    assert found == {i: min(n, max(lengths[j] for j in range(10, i))) for i, n in lengths.items() if i > 10}
+
+
+def test_runs_of_one_word_leave_no_passage_out():
+    """Against alignments of all places: what is left out is within two runs of one word that are as long as passages."""
+    rng, known, reach = random.Random(8), passages._Bytes(), passages.LOOK + passages.MORE + passages.BEYOND
+    some = [[w] * rng.randint(5, 60) for w in ("a", "b", "c") for _ in range(3)]
+    texts_, places = [], {}
+    for i in range(60):
+        runs = [rng.choice(some) if rng.random() < 0.3 else [rng.choice("abc")] * rng.randint(1, 70) if rng.random() < 0.6 else [f"u{i}x{rng.randint(0, 99)}" if rng.random() < 0.7 else rng.choice("defabc") for _ in range(rng.randint(1, 40))] for _ in range(6)]
+        texts_.append([w.encode() for run in runs for w in run])
+        for p, seed in zip(*map(np.ndarray.tolist, passages.Seeds().runs(" ".join(w for run in runs for w in run)))):
+            if len(set(texts_[i][p : p + passages.K])) == 1:
+                places.setdefault(seed, []).append((i, p))
+    kept, whole = {}, {}
+    for of_seed in places.values():
+        wide, held = np.zeros((len(of_seed), 2 * reach), np.uint16), []
+        for row, (i, p) in enumerate(of_seed):
+            line = [0] * reach + [known[w] for w in texts_[i]] + [0] * reach
+            wide[row] = line[p : p + 2 * reach]
+            a, b = p, p
+            while a > 0 and texts_[i][a - 1] == texts_[i][p]:
+                a -= 1
+            while b < len(texts_[i]) and texts_[i][b] == texts_[i][p]:
+                b += 1
+            own = [x for j, x in of_seed if j == i and a <= x < b]
+            held.append((b - a, a, min(own), max(own), len(own)))
+        may = passages.OneWord(wide, np.array([p for _, p in of_seed]), dict(zip(passages.RUN, np.array(held, np.int32).T)), 50, 0.8, passages.K)
+        ok = may(np.arange(len(of_seed))[:, None], np.arange(len(of_seed)))
+        for x, y in np.argwhere(np.tri(len(of_seed), k=-1)).tolist():
+            (i, p), (j, q) = of_seed[x], of_seed[y]
+            if i != j:
+                whole.setdefault((i, j), []).append((p, q))
+                if ok[x, y]:
+                    kept.setdefault((i, j), []).append((p, q))
+    left_out = 0
+    for (i, j), matches in whole.items():
+        found = [span for ms in (matches, kept.get((i, j), [])) for span in [[s for c in passages.chains(ms) for s in passages.spans(texts_[i], texts_[j], c, passages.K, 50, 0.8)]]]
+        for s in found[0]:
+            if not any(t[0] < s[1] and s[0] < t[1] and t[2] < s[3] and s[2] < t[3] for t in found[1]):
+                left_out += 1
+                assert len(set(texts_[i][s[0] : s[1]])) == 1 == len(set(texts_[j][s[2] : s[3]])) and min(s[1] - s[0], s[3] - s[2]) >= 50
+    assert left_out > 20 and sum(map(len, kept.values())) < sum(map(len, whole.values()))
+
+
 @pytest.mark.parametrize("period", [1, 12, 30])
 def test_passages_with_a_period(spark, period):
     run = [f"p{j}" for j in range(period)] * (60 // period)
